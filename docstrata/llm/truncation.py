@@ -29,6 +29,9 @@ INNER_MIN = 5
 TERMINAL_SHARE = 0.04
 OPENING_MIN = 5
 OPENING_SHARE = 0.5
+#: An opening met so often, and not ended by a mark, opens a label; labels are judged by their
+#: last word only.
+LABEL_MIN = 20
 
 MARK = r"(<[/!]?\w{0,12}|&#?\w{1,8}|\\(u[0-9a-fA-F]{0,4}|x[0-9a-fA-F]{0,2})?|\[[.…]{0,3}|\.\.\.|…|�)$"
 DONE = r"[.!?…][\"”’)\]\s]*$"
@@ -76,10 +79,11 @@ SELECT DISTINCT left(w, k) AS beginning FROM (
 DECIDED = """
 SELECT id, caption_source, text,
   mark
-  OR (NOT number_end AND coalesce(o2.ended / o2.n, o1.ended / o1.n, 0) >= {opening_share})
-  OR (coalesce(g1.closing, 0) <= {share} * (g1.inside + g1.closing) AND
+  OR (NOT number_end AND IF(o2.n IS NOT NULL, o2.ended / o2.n, IF(coalesce(g2.closing, 0) >= {least} AND g2.closing > g2.inside, 0, coalesce(o1.ended / o1.n, 0))) >= {opening_share})
+  OR (coalesce(o2.n, 0) < {label_min} AND coalesce(g1.closing, 0) <= {share} * (g1.inside + g1.closing) AND
       IF(coalesce(g3.inside, 0) >= {least}, g3.closing <= {share} * (g3.inside + g3.closing),
          coalesce(g2.inside, 0) >= {least} AND g2.closing <= {share} * (g2.inside + g2.closing)))
+  OR (NOT number_end AND parts > 1 AND closing_words = 1 AND o1.n IS NULL)
   OR (NOT number_end AND coalesce(g1.inside, 0) < {least} AND b.beginning IS NOT NULL)
   AS cut
 FROM {asked} t
@@ -88,7 +92,7 @@ LEFT JOIN {often} o2 ON o2.key = t.p2 LEFT JOIN {often} o1 ON o1.key = t.p1
 LEFT JOIN {beginnings} b ON b.beginning = t.tail
 """
 ASKED = """
-SELECT id, caption_source, text, done, number_end, mark, tail,
+SELECT id, caption_source, text, done, number_end, mark, tail, size(segments) AS parts, size(split(closing, ' ')) AS closing_words,
   xxhash64(3, slice(words, greatest(n - 2, 1), 3)) AS k3, xxhash64(2, slice(words, greatest(n - 1, 1), 2)) AS k2, xxhash64(1, slice(words, n, 1)) AS k1,
   IF(size(split(closing, ' ')) > 1, xxhash64(2, slice(split(closing, ' '), 1, 2)), NULL) AS p2, xxhash64(1, slice(split(closing, ' '), 1, 1)) AS p1
 FROM {tokens} WHERE NOT done
@@ -121,7 +125,7 @@ def decisions(images: DataFrame) -> DataFrame:
     grams = checkpoint(_sql(spark, GRAMS, tokens=tokens).join(keys, "key", "left_semi"))
     often = _sql(spark, OPENINGS, tokens=tokens).where(F.col("n") >= OPENING_MIN)
     beginnings = _sql(spark, BEGINNINGS, tokens=tokens, least=INNER_MIN)
-    return _sql(spark, DECIDED, asked=asked, grams=grams, often=checkpoint(often), beginnings=beginnings, least=INNER_MIN, share=TERMINAL_SHARE, opening_share=OPENING_SHARE)
+    return _sql(spark, DECIDED, asked=asked, grams=grams, often=checkpoint(often), beginnings=beginnings, least=INNER_MIN, label_min=LABEL_MIN, share=TERMINAL_SHARE, opening_share=OPENING_SHARE)
 
 
 def found(images: DataFrame) -> DataFrame:
