@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docstrata.llm import vec
+from docstrata.llm.components import components
 from docstrata.runtime import checkpoint, shuffle_partitions
 
 WORDS = 3
@@ -354,3 +355,16 @@ def found(elements: DataFrame, images: DataFrame) -> DataFrame:
     members, links = text_links(elements)
     pairs = element_pairs(members, links).select(F.lit("element").alias("record_kind"), "left_key", "right_key")
     return pairs.unionAll(hash_links(images).select(F.lit("image").alias("record_kind"), "left_key", "right_key")).distinct()
+
+
+def groups(elements: DataFrame, images: DataFrame) -> DataFrame:
+    """record_kind, record_key, class_key, n_links: every element id and every non-empty lower-cased
+    image hash with the smallest key of its group (its own if it is alone) and its links."""
+    pairs = checkpoint(found(elements, images))
+    tag = lambda c: F.concat("record_kind", F.lit(":"), c)
+    member = components(pairs.select(tag("left_key").alias("a"), tag("right_key").alias("b"))).withColumnRenamed("node", "tagged")
+    n = pairs.select("record_kind", F.explode(F.array("left_key", "right_key")).alias("record_key")).groupBy("record_kind", "record_key").agg(F.count("*").alias("n_links"))
+    every = elements.where(F.col("id").isNotNull()).select(F.lit("element").alias("record_kind"), F.col("id").alias("record_key")).unionAll(images.where(F.length("image_hash") > 0).select(F.lit("image"), F.lower("image_hash"))).distinct()
+    joined = every.join(n, ["record_kind", "record_key"], "left").withColumn("tagged", tag("record_key")).join(member, "tagged", "left")
+    root = F.expr("substring(root, length(record_kind) + 2)")
+    return joined.select("record_kind", "record_key", F.coalesce(root, "record_key").alias("class_key"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
