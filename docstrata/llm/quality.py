@@ -157,6 +157,8 @@ FIELDS = {
     "list_share": pa.float64(), "table_share": pa.float64(), "junk_share": pa.float64(), "delimiter_alignment": pa.float64(), "indent_periodicity": pa.float64(), "line_length_autocorrelation": pa.float64(), "text_class": pa.string(),
 }
 SCHEMA = "doc_id bigint, n_lines bigint, n_words bigint, mean_word_length double, symbol_ratio double, end_punctuation_share double, common_word_share double, prose_share double, list_share double, table_share double, junk_share double, delimiter_alignment double, indent_periodicity double, line_length_autocorrelation double, text_class string"
+#: White space and the byte order mark.
+BLANKS = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000\ufeff" + "".join(map(chr, range(0x2000, 0x200B)))
 BLANK = {k: 0 if v == pa.int64() else None for k, v in FIELDS.items()}
 
 
@@ -169,7 +171,7 @@ def statistics(documents: DataFrame, common_words: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [analyse(t, common) if t is not None and t.strip() else BLANK for t in batch.column(1).to_pylist()]
+            rows = [analyse(t, common) if t is not None and t.strip(BLANKS) else BLANK for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array([r[k] for r in rows], kind) for k, kind in FIELDS.items()]], names=["doc_id", *FIELDS])
 
     return documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, SCHEMA)
