@@ -41,7 +41,9 @@ SELECT id, caption_source, regexp_replace(trim(regexp_replace(caption, r'\\s+',
 FROM {captions} WHERE NOT residue AND caption IS NOT NULL
 """
 TOKENS = """
-SELECT *, size(words) AS n, element_at(segments, -1) AS closing,
+SELECT *, size(words) AS n, xxhash64(element_at(words, -1)) AS k1,
+       IF(size(words) > 1, xxhash64(element_at(words, -2), element_at(words, -1)), NULL) AS k2,
+       IF(size(words) > 2, xxhash64(element_at(words, -3), element_at(words, -2), element_at(words, -1)), NULL) AS k3, element_at(segments, -1) AS closing,
        text RLIKE r'{done}' AND NOT text RLIKE r' [\\d.,]*\\d\\.$' AND NOT text RLIKE r'{mark}' AS done,
        text RLIKE r' [\\d.,]*\\d\\.$' AS number_end, text RLIKE r'{mark}' AS mark,
        regexp_extract(lower(text), r'([\\p{L}-]+)$', 1) AS tail
@@ -54,11 +56,17 @@ FROM (
 """
 #: Every gram of one to three words: how often a text goes on after it, how often it ends with it.
 GRAMS = """
-SELECT g.key AS key, sum(g.inside) AS inside, sum(g.closing) AS closing FROM (
-  SELECT explode(flatten(transform(array(1, 2, 3), k -> IF(n < k, array(), transform(sequence(1, n - k + 1),
-    i -> named_struct('key', xxhash64(k, slice(words, i, k)), 'inside', IF(i + k - 1 < n, 1L, 0L), 'closing', IF(i + k - 1 = n, 1L, 0L))))))) AS g
+SELECT key, sum(n) AS n FROM (
+  SELECT explode(concat(
+    transform(words, w -> xxhash64(w)),
+    IF(n < 2, array(), transform(sequence(1, n - 1), i -> xxhash64(words[i - 1], words[i]))),
+    IF(n < 3, array(), transform(sequence(1, n - 2), i -> xxhash64(words[i - 1], words[i], words[i + 1]))))) AS key, 1L AS n
   FROM {tokens}
-) GROUP BY g.key
+) GROUP BY key
+"""
+#: How often a text ends with a gram; the other times it goes on.
+CLOSING = """
+SELECT key, count(*) AS closing FROM (SELECT explode(array(k1, k2, k3)) AS key FROM {tokens}) WHERE key IS NOT NULL GROUP BY key
 """
 #: How sentences that open alike end: by their first two words and by the first.
 OPENINGS = """
@@ -93,7 +101,7 @@ LEFT JOIN {beginnings} b ON b.beginning = t.tail
 """
 ASKED = """
 SELECT id, caption_source, text, done, number_end, mark, tail, size(segments) AS parts, size(split(closing, ' ')) AS closing_words,
-  xxhash64(3, slice(words, greatest(n - 2, 1), 3)) AS k3, xxhash64(2, slice(words, greatest(n - 1, 1), 2)) AS k2, xxhash64(1, slice(words, n, 1)) AS k1,
+  k1, k2, k3,
   IF(size(split(closing, ' ')) > 1, xxhash64(2, slice(split(closing, ' '), 1, 2)), NULL) AS p2, xxhash64(1, slice(split(closing, ' '), 1, 1)) AS p1
 FROM {tokens} WHERE NOT done
 """
@@ -118,11 +126,13 @@ def _sql(spark: SparkSession, query: str, **values) -> DataFrame:
 def decisions(images: DataFrame) -> DataFrame:
     """id, caption_source, text, cut: the captions without an end mark; all others are whole."""
     spark = images.sparkSession
-    captions = checkpoint(flagged(images).where(F.length(F.trim("caption")) > 0).dropDuplicates(["id", "caption"]))
-    tokens = _sql(spark, TOKENS, texts=_sql(spark, TEXTS, captions=captions), done=DONE, mark=MARK)
+    captions = flagged(images).where(F.length(F.trim("caption")) > 0).dropDuplicates(["id", "caption"])
+    tokens = checkpoint(_sql(spark, TOKENS, texts=_sql(spark, TEXTS, captions=captions), done=DONE, mark=MARK))
     asked = checkpoint(_sql(spark, ASKED, tokens=tokens))
     keys = asked.select(F.explode(F.array("k1", "k2", "k3")).alias("key")).distinct()
-    grams = checkpoint(_sql(spark, GRAMS, tokens=tokens).join(keys, "key", "left_semi"))
+    closing = _sql(spark, CLOSING, tokens=tokens)
+    counted = _sql(spark, GRAMS, tokens=tokens).join(keys, "key", "left_semi").join(closing, "key", "left")
+    grams = checkpoint(counted.select("key", (F.col("n") - F.coalesce("closing", F.lit(0))).alias("inside"), F.coalesce("closing", F.lit(0)).alias("closing")))
     often = _sql(spark, OPENINGS, tokens=tokens).where(F.col("n") >= OPENING_MIN)
     beginnings = _sql(spark, BEGINNINGS, tokens=tokens, least=INNER_MIN)
     return _sql(spark, DECIDED, asked=asked, grams=grams, often=checkpoint(often), beginnings=beginnings, least=INNER_MIN, label_min=LABEL_MIN, share=TERMINAL_SHARE, opening_share=OPENING_SHARE)
