@@ -45,7 +45,7 @@ def nodes(elements: DataFrame) -> DataFrame:
         .select(F.coalesce("document_id", F.lit("")).alias("document_id"), "id", order.alias("o"))
         .groupBy("document_id", "id")
         .agg(F.max("o").alias("o"))
-        .select("document_id", "id", F.col("o.parent_id").alias("parent_id"), F.coalesce("o.pos", F.lit(0)).alias("pos"))
+        .select("document_id", "id", F.col("o.parent_id").alias("parent_id"), F.col("o.pos").alias("pos"))
     )
 
 
@@ -116,47 +116,62 @@ def _local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def local_forests(n: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Every node with its local root, the offset to it, and the parent which the local root
     has outside the block (exit). Rows without a usable position are salted over 64 blocks."""
-    at_zero = F.pmod(F.xxhash64("id"), F.lit(64)).cast("int") * -1 - 1
-    block = F.when(F.col("pos") <= 0, at_zero).otherwise(F.floor(F.col("pos") / block_rows).cast("int"))
+    spread = F.pmod(F.xxhash64("id"), F.lit(64)).cast("int") * -1 - 1
+    block = F.when(F.col("pos").isNull(), spread).otherwise(F.floor(F.col("pos") / block_rows).cast("int"))
     rows = n.select("document_id", block.alias("block"), "id", "parent_id")
     return rows.repartition("document_id", "block").sortWithinPartitions("document_id", "block").mapInArrow(_local, LOCAL_SCHEMA)
 
 
 def contracted(local: DataFrame) -> DataFrame:
-    """One row per local root with an exit: (document_id, root, to, top, dist, state, prefix).
+    """One row per local root with an exit: (document_id, root, to, top, dist, state).
     state null: the parent's local root has an exit itself."""
     links = local.where(F.col("exit").isNotNull() & (F.col("id") == F.col("root"))).select("document_id", "root", F.col("exit").alias("to"))
-    target = local.select("document_id", F.col("id").alias("to"), F.col("root").alias("t_root"), F.col("off").alias("t_off"), F.col("state").alias("t_state"), F.col("exit").alias("t_exit"), F.col("local_path").alias("t_path"))
+    target = local.select("document_id", F.col("id").alias("to"), F.col("root").alias("t_root"), F.col("off").alias("t_off"), F.col("state").alias("t_state"), F.col("exit").alias("t_exit"))
     lost = F.col("t_root").isNull()
     state = F.when(lost, "dangling").when(F.col("t_state") != "", "below_cycle").when(F.col("t_exit").isNull(), "")
     return links.join(target, ["document_id", "to"], "left").select(
         "document_id", "root", "to",
         F.when(lost, F.col("root")).otherwise(F.col("t_root")).alias("top"),
         F.when(lost, 0).otherwise(F.col("t_off") + 1).cast("bigint").alias("dist"),
-        state.alias("state"), F.coalesce("t_path", F.array().cast("array<string>")).alias("prefix"),
+        state.alias("state"),
     )
 
 
 def resolve(links: DataFrame) -> DataFrame:
-    """Merge the contracted forests: every round doubles the span of an open link."""
-    current, rounds = links.drop("to"), 0
-    left = span = current.where(F.col("state").isNull()).count()
+    """Merge the contracted forests: every round doubles the span of an open link. No chain of
+    a document is longer than its number of contracted roots."""
+    current, rounds = links.select("document_id", "root", "top", "dist", "state"), 0
+    open_ = F.col("state").isNull()
+    span = current.where(open_).groupBy("document_id").count().agg(F.max("count")).first()[0] or 0
+    left = span
     while left and (1 << rounds) <= span:
-        nxt = current.select("document_id", F.col("root").alias("top"), F.col("top").alias("n_top"), F.col("dist").alias("n_dist"), F.col("state").alias("n_state"), F.col("prefix").alias("n_prefix"))
-        moved = current.where(F.col("state").isNull()).join(nxt, ["document_id", "top"]).select(
+        nxt = current.select("document_id", F.col("root").alias("top"), F.col("top").alias("n_top"), F.col("dist").alias("n_dist"), F.col("state").alias("n_state"))
+        moved = current.where(open_).join(nxt, ["document_id", "top"]).select(
             "document_id", "root", F.col("n_top").alias("top"), (F.col("dist") + F.col("n_dist")).alias("dist"),
             F.when(F.col("n_state") == "dangling", "").otherwise(F.col("n_state")).alias("state"),
-            F.when(F.col("n_state").isNotNull(), F.concat("n_prefix", "prefix")).otherwise(F.concat("n_prefix", "prefix")).alias("prefix"),
         )
-        current = checkpoint(current.where(F.col("state").isNotNull()).unionByName(moved))
+        current = checkpoint(current.where(~open_).unionByName(moved))
         rounds += 1
-        left = current.where(F.col("state").isNull()).count()
+        left = current.where(open_).count()
     if left:  # after that many steps the top of each lies on a cycle, and each of a cycle is a top
-        on = current.where(F.col("state").isNull()).select("document_id", F.col("top").alias("root"), F.lit("cycle").alias("on")).distinct()
+        on = current.where(open_).select("document_id", F.col("top").alias("root"), F.lit("cycle").alias("on")).distinct()
         current = current.join(on, ["document_id", "root"], "left").withColumn("state", F.coalesce("state", "on", F.lit("below_cycle"))).drop("on")
     return current
 
 
+def prefixes(local: DataFrame, links: DataFrame, done: DataFrame) -> DataFrame:
+    """(document_id, root, prefix): ids from the final root down to the node that each sound
+    contracted root hangs from, put together by doubling as well."""
+    sound = done.where(F.col("state") == "").select("document_id", "root")
+    target = local.select("document_id", F.col("id").alias("to"), F.col("root").alias("next"), F.col("local_path").alias("prefix"))
+    current = checkpoint(links.join(sound, ["document_id", "root"], "left_semi").join(target, ["document_id", "to"]).select("document_id", "root", "next", "prefix"))
+    while True:
+        above = current.select("document_id", F.col("root").alias("next"), F.col("next").alias("n_next"), F.col("prefix").alias("n_prefix"))
+        current = checkpoint(current.join(above, ["document_id", "next"], "left").select("document_id", "root", F.col("n_next").alias("next"), F.when(F.col("n_prefix").isNotNull(), F.concat("n_prefix", "prefix")).otherwise(F.col("prefix")).alias("prefix")))
+        if current.where(F.col("next").isNotNull()).isEmpty():
+            return current.drop("next")
+
+
 def solve(elements: DataFrame, block_rows: int = BLOCK_ROWS) -> tuple[DataFrame, DataFrame, DataFrame]:
     local = checkpoint(local_forests(nodes(elements), block_rows))
     links = checkpoint(contracted(local))
@@ -187,8 +202,8 @@ def trees(elements: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     the root), link_state (null if sound). A dangling element is the root of what is below
     it. On or below a cycle, root_id, depth and path are null."""
     local, links, done = solve(elements, block_rows)
-    up = done.select("document_id", "root", "top", "dist", "prefix")
-    full = local.join(up, ["document_id", "root"], "left").join(_states(local, links, done), ["document_id", "id"], "left")
+    up = done.select("document_id", "root", "top", "dist")
+    full = local.join(up, ["document_id", "root"], "left").join(prefixes(local, links, done), ["document_id", "root"], "left").join(_states(local, links, done), ["document_id", "id"], "left")
     sound = ~F.coalesce(F.col("link_state").isin("cycle", "below_cycle"), F.lit(False))
     return full.select(
         "document_id", F.col("id").alias("element_id"),
