@@ -63,9 +63,12 @@ class Model:
         self.total = max(1, sum(words.values()))
         self.costs = costs or {c: log(1e-3) for c in CONFUSIONS}
         self.known: dict[str, list[tuple[str, float]]] = {}
+        self.longest = max(map(len, words), default=0)
 
     def candidates(self, token: str) -> list[tuple[str, float]]:
         """Known words that one confusion, or two, may have turned into the token; best first."""
+        if len(token) > self.longest + 2:  # a confusion shortens a word by one character at most
+            return []
         found = self.known.get(token)
         if found is None:
             best: dict[str, float] = {}
@@ -102,7 +105,8 @@ class Model:
 
     def decode(self, tokens: list[str]) -> list[str]:
         """The most likely reading of a line's words (lower case)."""
-        paths: list[tuple[float, list[str]]] = [(0.0, [])]
+        steps: list[list[tuple[float, str, int]]] = []
+        last = [(0.0, "", -1)]
         for t in tokens:
             low = t.lower()
             options = [(low, log(0.97))]
@@ -110,10 +114,16 @@ class Model:
                 options += self.candidates(t)
             nxt = []
             for w, c in options:
-                score, path = max(((s + self.step(p[-1] if p else "", w), p) for s, p in paths), key=lambda x: x[0])
-                nxt.append((score + c, [*path, w]))
-            paths = nxt
-        return max(paths, key=lambda x: x[0])[1] if paths else []
+                score, back = max((s + self.step(p, w), -k) for k, (s, p, _) in enumerate(last))
+                nxt.append((score + c, w, -back))
+            steps.append(nxt)
+            last = nxt
+        k = max(range(len(last)), key=lambda i: last[i][0])
+        out = []
+        for options in reversed(steps):
+            out.append(options[k][1])
+            k = options[k][2]
+        return out[::-1]
 
 
 def is_word(token: str) -> bool:
