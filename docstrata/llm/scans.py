@@ -46,6 +46,8 @@ TOKEN = re.compile(r"[^\W\d_]+(?:[-'’][^\W\d_]+)*")
 SEEN = re.compile(r"\S+")
 EDGE = " \t.,;:?()[]{}\"“”„'’»«…*"
 SKIP = re.compile(r"^(?:[A-Z]{1,5}[-/]?\d[\w.=/-]*|[\d.,:/%°+-]+\w{0,3}|.*[=/\\<>].*|[A-Z]{2,}|°?[A-Z]|\[\d+\])$")
+#: Tags of instruments and bare numbers, as labels in pictures have them.
+TAGS = re.compile(r"^(?:[A-Z]{1,5}[-/]?\d[\w./-]*|[\d.,]+)$")
 HYPHEN = "\u2010\u2011\u00ac\u00ad-"
 BREAK = re.compile(r"(\S+?)([\u2010\u2011\u00ac\u00ad-])[ \t\u00a0]*$")
 PAGE = re.compile(
@@ -159,7 +161,7 @@ def furniture(lines: list[str], model: Model) -> list[bool]:
             flag[i] = True
         elif len(s) <= 90 and not s.endswith(".") and header_key(s) in model.headers:
             flag[i] = True
-        elif len(s) <= 90 and titled(s) and not all(SKIP.match(w.strip(EDGE)) for w in s.split()):
+        elif len(s) <= 90 and titled(s) and not all(TAGS.match(w.strip(EDGE)) for w in s.split()):
             flag[i] = True
         elif i and not lines[i - 1].strip() and len(s) <= 60 and i + 1 < len(lines) and not lines[i + 1].strip() and NUMBERED_END.search(s) and titled(NUMBERED_END.sub("", s)):
             flag[i] = True
