@@ -88,8 +88,17 @@ ONE_ROW = """SELECT id, max_by(coalesce(document_id, ''), coalesce(loaded_at, TI
   max_by(length(coalesce(text, '')), coalesce(loaded_at, TIMESTAMP '1900-01-01')) AS size FROM canonical_elements WHERE id IS NOT NULL GROUP BY id"""
 
 
+LEAKS = r"""WITH d AS (SELECT doc_id, regexp_extract_all(lower(regexp_replace(text, '\\[A-Za-z]+', ' ', 'g')), '[\p{L}\p{N}]+') AS w FROM documents),
+i AS (SELECT item_id, regexp_extract_all(lower(regexp_replace(text, '\\[A-Za-z]+', ' ', 'g')), '[\p{L}\p{N}]+') AS w FROM eval_items),
+dg AS (SELECT doc_id, w[k:k + 12] AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS k FROM d)),
+ig AS (SELECT item_id, w[k:k + 12] AS g FROM (SELECT item_id, w, unnest(range(1, len(w) - 11)) AS k FROM i)),
+leak AS (SELECT DISTINCT doc_id, item_id FROM dg JOIN ig USING (g))"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
+        "p9_found": f"{LEAKS} SELECT * FROM leak",
+        "p9_items": f"{LEAKS} SELECT item_id, suite, coalesce(n, 0) AS n_documents FROM eval_items LEFT JOIN (SELECT item_id, count(*) AS n FROM leak GROUP BY item_id) USING (item_id)",
         "p6_found": f"""WITH one AS ({ONE_ROW}),
 placed AS (SELECT *, last_value(CASE WHEN heading THEN id END IGNORE NULLS) OVER (PARTITION BY document_id ORDER BY pos, id ROWS UNBOUNDED PRECEDING) AS section_id FROM one WHERE pos IS NOT NULL)
 SELECT 'element' AS item_kind, id AS item_id FROM one WHERE size > {pieces.ELEMENT_LIMIT}
