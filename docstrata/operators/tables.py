@@ -26,7 +26,7 @@ def extract(raw: DataFrame, method: str) -> DataFrame:
         row, column = F.coalesce(c["start_row"], F.lit(0)), F.coalesce(c["start_col"], F.lit(0))
         return F.struct(
             F.coalesce(c["text"], F.lit("")).alias("text"), row.alias("row"), column.alias("column"),
-            F.greatest(F.lit(1), F.coalesce(c["end_row"] - row, F.lit(1))).alias("row_span"), F.greatest(F.lit(1), F.coalesce(c["end_col"] - column, F.lit(1))).alias("column_span"),
+            F.greatest(F.lit(1), c["end_row"] - row).alias("row_span"), F.greatest(F.lit(1), c["end_col"] - column).alias("column_span"),
             (F.coalesce(c["column_header"], F.lit(False)) | F.coalesce(c["row_header"], F.lit(False))).alias("is_header"),
         )
 
@@ -41,7 +41,7 @@ def extract(raw: DataFrame, method: str) -> DataFrame:
 def quality(tables: DataFrame, keys: tuple[str, ...] = ("id",)) -> DataFrame:
     """keys, num_rows, num_columns, n_cells, fill_ratio, header_cells, spanning_cells; no shuffle."""
     cells = F.filter(F.coalesce("cells", F.array().cast(tables.schema["cells"].dataType)), lambda c: c.isNotNull())
-    span = lambda c, name: F.greatest(F.lit(1), F.coalesce(c[name], F.lit(1)))
+    span = lambda c, name: F.greatest(F.lit(1), c[name])  # noqa: E731  (nulls are passed over)
     area = F.aggregate(F.filter("_c", lambda c: S.strip(c["text"]) != ""), F.lit(0).cast("bigint"), lambda a, c: a + span(c, "row_span") * span(c, "column_span"))
     return tables.withColumn("_c", cells).select(
         *keys, F.coalesce("num_rows", F.lit(0)).alias("num_rows"), F.coalesce("num_columns", F.lit(0)).alias("num_columns"), F.size("_c").alias("n_cells"),

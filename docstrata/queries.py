@@ -132,12 +132,12 @@ def bbox_invalid(spark: SparkSession, d: str) -> DataFrame:
 def tables_extracted(spark: SparkSession, d: str) -> DataFrame:
     """Ids of the latest tables, counted per page again."""
     raw = A.latest_tables(spark, d).select(
-        F.col("document_id").alias("doc_key"), F.col("id").alias("pos"), F.expr(f"array(named_struct('page', page, 'bbox', CAST(NULL AS {BBOX})))").alias("prov"),
+        F.col("document_id").alias("doc_key"), F.col("id").alias("pos"), F.transform(F.array("page"), lambda p: F.struct(p.alias("page"), F.lit(None).cast(BBOX).alias("bbox"))).alias("prov"),
         F.transform(F.filter("cells", lambda c: c.isNotNull()), lambda c: F.struct(c["row"].alias("start_row"), (c["row"] + F.coalesce(c["row_span"], F.lit(1))).alias("end_row"), c["column"].alias("start_col"), (c["column"] + F.coalesce(c["column_span"], F.lit(1))).alias("end_col"), c["text"].alias("text"), c["is_header"].alias("column_header"), F.lit(False).alias("row_header"))).alias("cells"),
         "num_rows", F.col("num_columns").alias("num_cols"),
     )
     t = tables.extract(raw, "adapter")
-    return t.select("id", "document_id", "page", "num_rows", "num_columns", F.greatest(F.size("cells"), F.lit(0)).alias("n_cells"))
+    return t.select("id", "document_id", "page", "num_rows", "num_columns", F.when(F.col("cells").isNull(), 0).otherwise(F.size("cells")).alias("n_cells"))
 
 
 @query
@@ -172,7 +172,7 @@ def image_hash_summary(spark: SparkSession, d: str) -> DataFrame:
 def image_kind(spark: SparkSession, d: str) -> DataFrame:
     """Vectors stand for pictures: the share of large components for edges, ids for sizes."""
     v = table(spark, d, "embeddings").select(
-        "vec_id", (F.size(F.filter("embedding", lambda x: F.abs(x) > 0.15)) / F.size("embedding")).alias("edge_density"), (F.col("vec_id") * 37 % 9000).alias("color_count"), (F.col("vec_id") % 600).alias("width"), (F.col("vec_id") % 350).alias("height")
+        "vec_id", (F.size(F.filter("embedding", lambda x: F.abs(x) > 0.15)) / (F.size("embedding") + 1)).alias("edge_density"), (F.col("vec_id") * 37 % 9000).alias("color_count"), (F.col("vec_id") % 600).alias("width"), (F.col("vec_id") % 350).alias("height")
     )
     return images.classified(v).select("vec_id", "kind", "complexity", "confidence", F.array_join("reasons", ";").alias("reasons"))
 
@@ -297,11 +297,11 @@ UNION SELECT 'provenance', id, CAST(n AS INT) FROM pr WHERE p IS NOT NULL UNION
         "p4_cells": f"WITH {LATEST_TABLES}, c AS (SELECT id, unnest(cells) AS c, generate_subscripts(cells, 1) - 1 AS n FROM lt) SELECT id AS table_id, CAST(n AS INT) AS child_pos, c.text AS text, CAST(c.row AS VARCHAR) AS row, CAST(c.column AS VARCHAR) AS column, CAST(c.row_span AS VARCHAR) AS row_span, CAST(c.column_span AS VARCHAR) AS column_span, CAST(c.is_header AS VARCHAR) AS is_header FROM c WHERE c IS NOT NULL",
         "p7_found": f"""{FOREST}
 SELECT id AS element_id, 'dangling' AS link_state FROM dang UNION ALL SELECT id, state FROM broken""",
-        "p7_trees": f"""{FOREST}, below AS (SELECT document_id, unnest(string_split(path, '/')) AS id, count(*) - 1 AS n FROM sound GROUP BY ALL)
+        "p7_trees": f"""{FOREST}, parts AS (SELECT document_id, unnest(string_split(path, '/')) AS id FROM sound), below AS (SELECT document_id, id, count(*) - 1 AS n FROM parts GROUP BY ALL)
 SELECT s.document_id, s.id AS element_id, s.root_id, s.depth, s.path, b.n AS n_descendants, CASE WHEN EXISTS (SELECT 1 FROM dang d WHERE d.document_id = s.document_id AND d.id = s.id) THEN 'dangling' END AS link_state FROM sound s JOIN below b ON b.document_id = s.document_id AND b.id = s.id
 UNION ALL SELECT document_id, id, NULL, NULL, NULL, NULL, state FROM broken""",
-        "p7_descendants": f"""{FOREST}, up AS (SELECT document_id, id, depth, string_split(path, '/') AS p FROM sound WHERE depth > 0), k AS (SELECT *, unnest(p) AS ancestor_id, generate_subscripts(p, 1) - 1 AS at FROM up)
-SELECT document_id, ancestor_id, id AS descendant_id, depth - at AS distance FROM k WHERE at < depth""",
+        "p7_descendants": f"""{FOREST}, up AS (SELECT document_id, id, depth, string_split(path, '/') AS p FROM sound WHERE depth > 0), k AS (SELECT *, unnest(p) AS ancestor_id, generate_subscripts(p, 1) - 1 AS nth FROM up)
+SELECT document_id, ancestor_id, id AS descendant_id, depth - nth AS distance FROM k WHERE nth < depth""",
         "inspect_documents": "SELECT doc_id, 'doc_' || substring(sha256(text), 1, 12) AS document_id, length(text) AS n_characters FROM documents",
         "element_type_counts": f"{items} SELECT type0 AS type, count(*) AS n FROM typed GROUP BY ALL",
         "heading_levels": f"{items} SELECT label, heading_level, count(*) AS n FROM typed GROUP BY ALL",
@@ -321,7 +321,7 @@ SELECT document_id, ancestor_id, id AS descendant_id, depth - at AS distance FRO
         "image_occurrences": f"{pics} SELECT pos AS image_id, occurrence_id, image_hash FROM occ WHERE image_hash <> ''",
         "image_dedup": f"{pics} SELECT d.occurrence_id, d.first_id, d.occurrence_id <> d.first_id AS is_duplicate, nullif(f.kind, '') AS kind, f.complexity, f.image_path, f.caption FROM dup d JOIN pics f ON f.pos = d.first_pos",
         "image_hash_summary": f"{pics} SELECT doc_key, count(*) AS total_occurrences, count(*) FILTER (WHERE occurrence_id = first_id) AS unique_images, count(*) FILTER (WHERE occurrence_id <> first_id) AS duplicate_occurrences FROM dup GROUP BY doc_key",
-        "image_kind": """WITH v AS (SELECT vec_id, len(list_filter(embedding, lambda x: abs(x) > 0.15))::DOUBLE / len(embedding) AS e, vec_id * 37 % 9000 AS c, vec_id % 600 AS w, vec_id % 350 AS h FROM embeddings)
+        "image_kind": """WITH v AS (SELECT vec_id, len(list_filter(embedding, lambda x: abs(x) > 0.15))::DOUBLE / (len(embedding) + 1) AS e, vec_id * 37 % 9000 AS c, vec_id % 600 AS w, vec_id % 350 AS h FROM embeddings)
 SELECT vec_id, CASE WHEN e > 0.22 AND c < 3000 THEN 'diagram/schematic' WHEN c > 5000 AND e > 0.08 THEN 'photo' WHEN h < 200 AND w < 400 THEN 'logo/icon' WHEN e > 0.14 THEN 'chart' ELSE 'unknown' END AS kind, CASE WHEN e > 0.16 OR c > 7000 THEN 'complex' ELSE 'simple' END AS complexity,
   round(least(0.95::DOUBLE, 0.5::DOUBLE + abs(e - 0.1::DOUBLE) + least(c, 8000)::DOUBLE / 40000), 3) AS confidence, printf('edge_density=%.3f;sampled_colors=%d', e, c) AS reasons FROM v""",
         "caption_prompts": f"""{pics}, h AS (SELECT occurrence_id, concat_ws(chr(10), 'Page: ' || page, CASE WHEN kind <> '' THEN 'Heuristic type guess: ' || kind END, CASE WHEN ocr_text <> '' THEN 'Nearby/embedded text: ' || substring(ocr_text, 1, 300) END) AS hints FROM dup WHERE occurrence_id = first_id AND kind <> 'logo/icon')
