@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from docstrata.functions import scalars as S
 from docstrata.operators.scans import with_ordinal, with_running_max
+from docstrata.runtime import checkpoint
 
 MAX_LEVELS = 32
 
@@ -41,7 +42,7 @@ def reclassified(items: DataFrame, min_pages: int = 3) -> DataFrame:
 
 def identified(items: DataFrame, min_pages: int = 3) -> DataFrame:
     """reclassified() with the page-aware id: ordinals count per page and type code."""
-    coded = reclassified(items, min_pages).withColumn("code", S.type_code(F.col("type")))
+    coded = checkpoint(reclassified(items, min_pages).withColumn("code", S.type_code(F.col("type"))))
     ranked = with_ordinal(coded, ["document_id", "id_page", "code"], "pos", [], "ordinal")
     return ranked.withColumn("id", S.element_id(F.col("document_id"), F.col("id_page"), F.col("code"), F.col("ordinal"))).drop("ordinal", "code")
 
@@ -62,30 +63,31 @@ def with_ancestors(elements: DataFrame, levels: list[int] | None = None) -> Data
     if not levels:
         return elements.withColumn("parent_id", F.lit(None).cast("string")).withColumn("heading_path", F.array().cast("array<string>"))
     eligible = (F.col("type") == "heading") & F.col("heading_level").isNotNull()
-    seen = with_running_max(elements, "document_id", "pos", {f"m{k}": F.when(eligible & (F.col("heading_level") == k), F.struct(F.col("pos"), F.col("id"), F.col("text"))) for k in levels})
+    narrow = elements.select("document_id", "pos", "id", "type", "heading_level", F.when(eligible, F.col("text")).alias("text"))
+    seen = with_running_max(narrow, "document_id", "pos", {f"m{k}": F.when(eligible & (F.col("heading_level") == k), F.struct(F.col("pos"), F.col("id"), F.col("text"))) for k in levels})
 
     def usable(k: int) -> Column:
-        above = F.when(~eligible | (F.col("heading_level") > k), F.col(f"m{k}"))
+        reaches = ~eligible | (F.col("heading_level") > k)
         for j in levels:
             if j < k:
-                above = F.when(F.col(f"m{j}").isNull() | (F.col(f"m{j}.pos") < above["pos"]), above)
-        return above
+                reaches = reaches & (F.col(f"m{j}").isNull() | (F.col(f"m{j}.pos") < F.col(f"m{k}.pos")))
+        return F.when(reaches, F.col(f"m{k}"))
 
     path = F.filter(F.array(*[usable(k) for k in levels]), lambda x: x.isNotNull())
-    return seen.withColumn("_path", path).select(
-        *elements.columns, F.try_element_at("_path", F.lit(-1))["id"].alias("parent_id"), F.transform("_path", lambda x: x["text"]).alias("heading_path")
-    )
+    found = seen.select("document_id", "pos", path.alias("_path"))
+    found = found.select("document_id", "pos", F.try_element_at("_path", F.lit(-1))["id"].alias("parent_id"), F.transform("_path", lambda x: x["text"]).alias("heading_path"))
+    return elements.join(found, ["document_id", "pos"])
 
 
 def normalize(items: DataFrame, min_pages: int = 3) -> DataFrame:
     """document_id, pos, id, type, label, text, heading_level, parent_id, heading_path, provenance, ..."""
-    return with_ancestors(identified(items, min_pages))
+    return with_ancestors(checkpoint(identified(items, min_pages)))
 
 
 def children(elements: DataFrame) -> DataFrame:
     """document_id, parent_id, child_pos (0-based), child_id, one row per child. As rows the
     children of one parent may be any number; child_arrays() gives lists."""
-    kids = elements.where(F.col("parent_id").isNotNull()).select("document_id", "parent_id", "pos", F.col("id").alias("child_id"))
+    kids = checkpoint(elements.where(F.col("parent_id").isNotNull()).select("document_id", "parent_id", "pos", F.col("id").alias("child_id")))
     return with_ordinal(kids, ["document_id", "parent_id"], "pos", ["child_id"], "n").select("document_id", "parent_id", (F.col("n") - 1).alias("child_pos"), "child_id")
 
 

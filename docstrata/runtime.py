@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+_owned: set[str] = set()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,9 +34,15 @@ def shared_dir(spark: SparkSession) -> str:
 
 def checkpoint(df: DataFrame, partitions: int | None = None) -> DataFrame:
     """Cut the lineage with a table written to the shared folder. Unlike an RDD
-    checkpoint it is compressed and columnar, and later reads prune its columns."""
+    checkpoint it is compressed and columnar, and later reads prune its columns. The
+    application's folder is deleted when its driver ends."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/{uuid.uuid4().hex}.parquet"
+    root = f"{shared_dir(spark).rstrip('/')}/docstrata-{spark.sparkContext.applicationId}"
+    if root not in _owned:
+        _owned.add(root)
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    path = f"{root}/{uuid.uuid4().hex}.parquet"
     (df.coalesce(partitions) if partitions else df).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

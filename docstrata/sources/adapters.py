@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from docstrata.operators.scans import with_ordinal
 from docstrata.operators.shred import latest
-from docstrata.runtime import table
+from docstrata.runtime import checkpoint, table
 
 
 def single(elements: DataFrame) -> DataFrame:
@@ -19,7 +19,7 @@ def single(elements: DataFrame) -> DataFrame:
 def raw_items(spark: SparkSession, d: str) -> DataFrame:
     """Page items of canonical_elements in reading order (schema.RAW_ITEM)."""
     e = single(table(spark, d, "canonical_elements").select("id", "document_id", "reading_order", "text", "heading_level", "provenance", "metadata", "loaded_at"))
-    placed = with_ordinal(e, ["document_id"], "reading_order", ["id"], "n")
+    placed = with_ordinal(checkpoint(e), ["document_id"], "reading_order", ["id"], "n")
     return placed.select(F.col("document_id").alias("doc_key"), (F.col("n") - 1).alias("pos"), F.col("metadata.docling_label").alias("label"), "text", F.col("heading_level").alias("level"), F.col("metadata.traversal_level").alias("traversal_level"), F.col("provenance").alias("prov"))
 
 
