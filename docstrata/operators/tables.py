@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -53,8 +54,6 @@ def quality(tables: DataFrame, keys: tuple[str, ...] = ("id",)) -> DataFrame:
 
 def exact_fill_ratio(occupied: Column, slots: Column) -> Column:
     """The ratio rounded as Python's round does it (half to even on the binary value)."""
-    import pandas as pd
-
     @F.pandas_udf("double")
     def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
         return pd.Series([round(min(1.0, x / max(1, y)), 4) for x, y in zip(a, b)])
