@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from docstrata.functions import scalars as S
 from docstrata.operators import elements as E
 from docstrata.operators import hierarchy, images, qa, shred, tables
+from docstrata.runtime import checkpoint, table
 from docstrata.schema import BBOX, LABEL_TYPES, TYPE_CODES
 from docstrata.sources import adapters as A
-from docstrata.runtime import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 SEPARATOR = " > "
@@ -32,15 +32,15 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
 @query
 def p4_adjacency(spark: SparkSession, d: str) -> DataFrame:
     """The adjacency table of the latest deliveries of documents and tables."""
-    docs = shred.latest(table(spark, d, "canonical_documents"), "id", "delivered_at")
-    tabs = shred.latest(table(spark, d, "extracted_tables"), "id", "delivered_at")
+    docs = checkpoint(shred.latest(table(spark, d, "canonical_documents"), "id", "delivered_at"))
+    tabs = checkpoint(shred.latest(table(spark, d, "extracted_tables"), "id", "delivered_at"))
     return shred.shred(docs, "id", "document").select(F.lit("document").alias("entity"), "*").unionAll(shred.shred(tabs, "id", "table").select(F.lit("table"), "*"))
 
 
 @query
 def p4_cells(spark: SparkSession, d: str) -> DataFrame:
     """The entity table of cells, put together from the adjacency table."""
-    tabs = shred.latest(table(spark, d, "extracted_tables").select("id", "cells", "delivered_at"), "id", "delivered_at").select("id", "cells")
+    tabs = checkpoint(shred.latest(table(spark, d, "extracted_tables").select("id", "cells", "delivered_at"), "id", "delivered_at").select("id", "cells"))
     fields = ["text", "row", "column", "row_span", "column_span", "is_header"]
     return shred.entities(shred.shred(tabs, "id", "table"), "cells", fields).select(F.col("parent").alias("table_id"), F.col("ordinal").alias("child_pos"), *fields)
 
