@@ -164,7 +164,7 @@ def oversized(elements: DataFrame) -> DataFrame:
 
 def pieces(elements: DataFrame) -> DataFrame:
     """item_kind, item_id, piece (0-based), n_pieces, overlap (characters repeated), text."""
-    cut_up = oversized(elements).repartition("item_id", "stretch").mapInArrow(_cut_all, PIECES)
+    cut_up = checkpoint(oversized(elements).repartition("item_id", "stretch").mapInArrow(_cut_all, PIECES))
     order = Window.partitionBy("item_kind", "item_id").orderBy("stretch")
     n = cut_up.groupBy("item_kind", "item_id", "stretch").agg(F.count("*").alias("n"))
     n = n.select("item_kind", "item_id", "stretch", (F.sum("n").over(order) - F.col("n")).alias("before"), F.sum("n").over(Window.partitionBy("item_kind", "item_id")).alias("n_pieces"))
