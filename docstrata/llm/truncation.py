@@ -6,7 +6,8 @@ almost never last marks a cut. Trigrams that were never seen back off, by joins
 the final pair of words; to the last word, when it is unknown but begins a frequent word; and
 to how the last sentence opens: a text without an end mark is cut if sentences that open so
 have one nearly always, while labels (which open otherwise) hardly ever do. An unfinished tag,
-entity, escape or ellipsis at the end is the trace of a cut transfer.
+entity, escape or ellipsis at the end is the trace of a cut transfer, and one or two words after a
+full sentence are the beginning of a next one.
 
 All counts run over all captions that are no template residue. Numbers count as one word, and
 letters with a number after them (tags of instruments) as another.
@@ -91,7 +92,7 @@ SELECT id, caption_source, text,
   OR (coalesce(o2.n, 0) < {label_min} AND coalesce(g1.closing, 0) <= {share} * (g1.inside + g1.closing) AND
       IF(coalesce(g3.inside, 0) >= {least}, g3.closing <= {share} * (g3.inside + g3.closing),
          coalesce(g2.inside, 0) >= {least} AND g2.closing <= {share} * (g2.inside + g2.closing)))
-  OR (NOT number_end AND parts > 1 AND closing_words = 1 AND o1.n IS NULL)
+  OR (NOT number_end AND parts > 1 AND closing_words <= 2)
   OR (NOT number_end AND coalesce(g1.inside, 0) < {least} AND b.beginning IS NOT NULL)
   AS cut
 FROM {asked} t
