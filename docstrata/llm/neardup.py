@@ -42,6 +42,8 @@ POSITIONS = ROWS * BANDS
 #: Of the POSITIONS bits two texts of similarity 0.5 agree in 75 %, unrelated ones in half.
 SCREEN_BAND, SCREEN_ALL = 38, 126
 EXPAND = 64
+#: Parts of the key space for each shuffle partition; many parts make partitions even.
+PARTS = 16
 CHUNK_SHINGLES = 60_000
 BUCKET = np.dtype([("k", "<u4"), ("h", "<u8"), ("s", "<u8")])
 
@@ -246,7 +248,7 @@ def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def text_links(elements: DataFrame, threshold: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
     """(members: id, h) and (links: a, b between the classes of equal word sequences)."""
     spark = elements.sparkSession
-    parts = shuffle_partitions(spark) * 4
+    parts = shuffle_partitions(spark) * PARTS
     long = elements.where(F.length("text") >= 2 * MIN_WORDS - 1)
     text = long.select("text")
     classes = checkpoint(text.mapInArrow(_classes, "h bigint, sig binary"))
@@ -324,7 +326,7 @@ def _hash_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def hash_links(images: DataFrame, radius: int = RADIUS) -> DataFrame:
     """left_key, right_key: different lower-cased image hashes within the radius."""
-    parts = shuffle_partitions(images.sparkSession) * 4
+    parts = shuffle_partitions(images.sparkSession) * PARTS
     hashes = images.select(F.lower("image_hash").alias("hash")).where(F.col("hash").rlike("^[0-9a-f]{64}$")).distinct()
     blobs = hashes.mapInArrow(_hash_rows(parts, radius), "part int, rows binary").repartition("part")
     candidates = blobs.mapInArrow(_hash_candidates(radius), "a bigint, b bigint").distinct()
