@@ -37,10 +37,11 @@ from docstrata.runtime import checkpoint, shuffle_partitions
 WORDS = 3
 MIN_WORDS = 40
 SIMILARITY = 0.5
-ROWS, BANDS = 4, 48
+ROWS, BANDS = 4, 64
 POSITIONS = ROWS * BANDS
+LONGS = POSITIONS // 64
 #: Of the POSITIONS bits two texts of similarity 0.5 agree in 75 %, unrelated ones in half.
-SCREEN_BAND, SCREEN_ALL = 38, 126
+SCREEN_BAND, SCREEN_ALL = 38, 168
 EXPAND = 64
 #: Parts of the key space for each shuffle partition; many parts make partitions even.
 PARTS = 16
@@ -147,7 +148,7 @@ def _band_parts(parts: int):
                 continue
             h = np.asarray(batch.column(0)).view(np.uint64)
             sig = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint16).reshape(len(h), POSITIONS)
-            s = _bits(sig[:, ::3]).copy().view(np.uint64)[:, 0]
+            s = _bits(sig[:, ::LONGS]).copy().view(np.uint64)[:, 0]
             band = np.ascontiguousarray(sig).view(np.uint64)  # four positions of 16 bits
             with np.errstate(over="ignore"):
                 key = vec.mix(band + np.arange(1, BANDS + 1, dtype=np.uint64) * vec.GOLD).reshape(-1)
@@ -211,7 +212,7 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if batch.num_rows:
             sig = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint16).reshape(-1, POSITIONS)
             w = np.ascontiguousarray(_bits(sig)).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(np.ascontiguousarray(w[:, i])) for i in range(w.shape[1])]], names=["h", "s0", "s1", "s2"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(np.ascontiguousarray(w[:, i])) for i in range(w.shape[1])]], names=["h", *(f"s{i}" for i in range(LONGS))])
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -254,10 +255,10 @@ def text_links(elements: DataFrame, threshold: float = SIMILARITY) -> tuple[Data
     classes = checkpoint(text.mapInArrow(_classes, "h bigint, sig binary"))
     blobs = classes.mapInArrow(_band_parts(parts), "part int, rows binary").repartition("part")
     candidates = blobs.mapInArrow(_text_candidates, "a bigint, b bigint").distinct()
-    sketch = classes.mapInArrow(_sketches, "h bigint, s0 bigint, s1 bigint, s2 bigint").dropDuplicates(["h"])
-    left = sketch.select(F.col("h").alias("a"), *[F.col(f"s{i}").alias(f"a{i}") for i in range(3)])
-    right = sketch.select(F.col("h").alias("b"), *[F.col(f"s{i}").alias(f"b{i}") for i in range(3)])
-    differ = sum((F.bit_count(F.col(f"a{i}").bitwiseXOR(F.col(f"b{i}"))) for i in range(3)), F.lit(0))
+    sketch = classes.mapInArrow(_sketches, "h bigint" + "".join(f", s{i} bigint" for i in range(LONGS))).dropDuplicates(["h"])
+    left = sketch.select(F.col("h").alias("a"), *[F.col(f"s{i}").alias(f"a{i}") for i in range(LONGS)])
+    right = sketch.select(F.col("h").alias("b"), *[F.col(f"s{i}").alias(f"b{i}") for i in range(LONGS)])
+    differ = sum((F.bit_count(F.col(f"a{i}").bitwiseXOR(F.col(f"b{i}"))) for i in range(LONGS)), F.lit(0))
     likely = checkpoint(candidates.join(left, "a").join(right, "b").where(differ <= POSITIONS - SCREEN_ALL).select("a", "b"))
     wanted = likely.select(F.col("a").alias("h")).unionAll(likely.select("b")).distinct()
     sets = text.mapInArrow(_sets, "h bigint, grams binary").join(wanted, "h", "left_semi").groupBy("h").agg(F.first("grams").alias("grams"))
