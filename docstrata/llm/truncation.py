@@ -49,10 +49,9 @@ SELECT *, size(words) AS n, xxhash64(element_at(words, -1)) AS k1,
        text RLIKE r' [\\d.,]*\\d\\.$' AS number_end, text RLIKE r'{mark}' AS mark,
        regexp_extract(lower(text), r'([\\p{L}-]+)$', 1) AS tail
 FROM (
-  SELECT id, caption_source, text,
-         transform(split(text, r'(?<=[.!?]["”’)]?)\\s+(?=[\\p{Lu}“"])'), s -> regexp_replace(regexp_replace(lower(s), r'\\p{L}+-\\d+([.,]\\d+)*', 'tag0'), r'\\d+([.,]\\d+)*', '0')) AS segments,
-         filter(split(regexp_replace(regexp_replace(lower(text), r'\\p{L}+-\\d+([.,]\\d+)*', ' tag0 '), r'\\d+([.,]\\d+)*', ' 0 '), r'[^\\p{L}\\p{N}-]+'), w -> w <> '') AS words
-  FROM {texts} WHERE text <> ''
+  SELECT id, caption_source, text, transform(split(norm, r'(?<=[.!?]["”’)]?)\\s+(?=[\\p{Lu}“"])'), s -> lower(s)) AS segments,
+         filter(split(lower(norm), r'[^\\p{L}\\p{N}-]+'), w -> w <> '') AS words
+  FROM (SELECT *, regexp_replace(regexp_replace(text, r'(?<!\\p{L})\\p{L}++-\\d+([.,]\\d+)*', 'Tag0'), r'\\d+([.,]\\d+)*', '0') AS norm FROM {texts} WHERE text <> '')
 ) WHERE size(words) > 0
 """
 #: Every gram of one to three words: how often a text goes on after it, how often it ends with it.
