@@ -36,7 +36,7 @@ LEAST = 3
 PROSE_TYPES = ("paragraph", "list_item")
 #: What recognition shows, and what stood there.
 CONFUSIONS = (
-    ("0", "o"), ("1", "l"), ("1", "i"), ("5", "s"), ("6", "b"), ("8", "b"), ("9", "g"), ("@", "a"), ("4", "a"), ("3", "e"), ("2", "z"), ("7", "t"), ("$", "s"), ("!", "l"), ("!", "i"), ("|", "l"), ("|", "i"), ("q", "g"), ("€", "e"), ("(", "c"),
+    ("0", "o"), ("1", "l"), ("1", "i"), ("5", "s"), ("6", "b"), ("8", "b"), ("9", "g"), ("@", "a"), ("4", "a"), ("3", "e"), ("2", "z"), ("7", "t"), ("$", "s"), ("!", "l"), ("!", "i"), ("|", "l"), ("|", "i"), ("q", "g"), ("€", "e"), ("(", "c"), ("\\/", "v"), ("|)", "d"), ("()", "o"), ("|<", "k"), ("/\\", "a"), ("\\/\\/", "w"),
     ("c", "e"), ("e", "c"), ("o", "c"), ("c", "o"), ("f", "t"), ("t", "f"), ("l", "i"), ("i", "l"), ("l", "t"), ("h", "b"), ("b", "h"), ("n", "u"), ("u", "n"), ("a", "o"), ("o", "a"), ("e", "o"), ("o", "e"), ("v", "y"), ("y", "v"), ("g", "q"), ("n", "h"), ("r", "t"), ("s", "5"), ("i", "j"), ("j", "i"), ("u", "v"), ("v", "u"), ("a", "e"), ("e", "a"),
     ("rn", "m"), ("m", "rn"), ("m", "in"), ("in", "m"), ("m", "ni"), ("m", "nn"), ("nn", "m"), ("vv", "w"), ("w", "vv"), ("ii", "u"), ("u", "ii"), ("ll", "u"), ("u", "ll"), ("li", "h"), ("h", "li"), ("cl", "d"), ("d", "cl"), ("H", "ti"), ("H", "fi"), ("h", "ti"), ("ri", "n"), ("n", "ri"), ("tl", "d"), ("fi", "h"), ("lc", "k"), ("k", "lc"), ("ti", "n"), ("f", "ti"), ("u", "ti"), ("ß", "b"), ("b", "ß"), ("rr", "n"), ("ni", "m"), ("iv", "w"), ("w", "iv"), ("lt", "k"), ("fl", "ﬂ"), ("ﬁ", "fi"), ("ﬂ", "fl"), ("a", "ä"), ("o", "ö"), ("u", "ü"), ("ii", "ü"), ("ss", "ß"), ("B", "ß"),
 )
@@ -45,7 +45,7 @@ TOKEN = re.compile(r"[^\W\d_]+(?:[-'’][^\W\d_]+)*")
 #: A word as it stands in a scanned text: anything between white space, without marks around it.
 SEEN = re.compile(r"\S+")
 EDGE = " \t.,;:?()[]{}\"“”„'’»«…*"
-SKIP = re.compile(r"^(?:[A-Z]{1,5}[-/]?\d[\w.=/-]*|[\d.,:/%°+-]+\w{0,3}|.*[=/\\<>].*|[A-Z]{2,}|°?[A-Z]|\[\d+\])$")
+SKIP = re.compile(r"^(?:[A-Z]{1,5}[-/]?\d[\w.=/-]*|[\d.,:/%°+-]+\w{0,3}|.*[=<>].*|.*(?<!\\)/(?!\\).*|.*\\(?!/).*|[A-Z]{2,}|°?[A-Z]|\[\d+\])$")
 #: Tags of instruments and bare numbers, as labels in pictures have them.
 TAGS = re.compile(r"^(?:[A-Z]{1,5}[-/]?\d[\w./-]*|[\d.,]+)$")
 HYPHEN = "\u2010\u2011\u00ac\u00ad-"
@@ -219,7 +219,7 @@ def repair(text: str, model: Model) -> tuple[str, set[str]]:
             for j, (t, r) in enumerate(zip(line, model.decode(line))):
                 if t.lower() != r:
                     noise.add("misread")
-                    shown = r.capitalize() if t[:1].isupper() and not t[1:2].isupper() else r
+                    shown = r.capitalize() if t[:1].isupper() and t[:1].lower() == r[:1] else r
                     out[k][j] = out[k][j].replace(t, shown, 1)
     return " ".join(t for tokens in out for t in tokens), noise
 
