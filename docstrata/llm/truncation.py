@@ -5,8 +5,9 @@ final trigram of each text is joined with these counts: one that is frequent ins
 almost never last marks a cut. Trigrams that were never seen back off, by joins as well, to
 the final pair of words; to the last word, when it is unknown but begins a frequent word; and
 to how the last sentence opens: a text without an end mark is cut if sentences that open so
-have one nearly always, while labels (which open otherwise) hardly ever do. An unfinished tag,
-entity, escape or ellipsis at the end is the trace of a cut transfer, and one or two words after a
+have one nearly always, while labels (which open otherwise) hardly ever do. Where a sentence
+opens like a label, its last word must also be one that other labels hardly ever end with: labels
+of the same opening, and by an upper bound of the share these or all labels. An unfinished tag, entity, escape or ellipsis at the end is the trace of a cut transfer, and one or two words after a
 full sentence are the beginning of a next one.
 
 All counts run over all captions that are no template residue. Numbers count as one word, and
@@ -30,9 +31,8 @@ INNER_MIN = 5
 TERMINAL_SHARE = 0.04
 OPENING_MIN = 5
 OPENING_SHARE = 0.5
-#: An opening met so often, and not ended by a mark, opens a label; labels are judged by their
-#: last word only.
-LABEL_MIN = 20
+#: Ends that may have gone unseen: with so many more, a share is its upper bound at 95 %.
+UNSEEN = 3
 
 MARK = r"(<[/!]?\w{0,12}|&#?\w{1,8}|\\(u[0-9a-fA-F]{0,4}|x[0-9a-fA-F]{0,2})?|\[[.…]{0,3}|\.\.\.|…|�)$"
 DONE = r"[.!?…][\"”’)\]\s]*$"
@@ -76,6 +76,20 @@ SELECT key, count(*) AS n, sum(IF(ends, 1L, 0L)) AS ended FROM (
   )
 ) GROUP BY key
 """
+#: Every word of the labels (captions without an end mark that open as those without one do),
+#: by itself and by the opening: how often it stands in one, how often one ends with it.
+LABELS = """
+SELECT key, count(*) AS n, sum(IF(last, 1L, 0L)) AS closing FROM (
+  SELECT explode(array(k, xxhash64(p2, k))) AS key, last FROM (
+    SELECT p2, xxhash64(words[i]) AS k, i = size(words) - 1 AS last FROM (
+      SELECT p2, words, explode(sequence(0, size(words) - 1)) AS i FROM (
+        SELECT p2, filter(split(closing, r'[^\\p{L}\\p{N}-]+'), w -> w <> '') AS words
+        FROM {asked} t JOIN {often} o ON o.key = t.p2 WHERE NOT mark AND o.ended / o.n < {opening_share}
+      ) WHERE size(words) > 0
+    )
+  )
+) GROUP BY key
+"""
 #: Frequent words by each of their beginnings.
 BEGINNINGS = """
 SELECT DISTINCT left(w, k) AS beginning FROM (
@@ -88,7 +102,10 @@ DECIDED = """
 SELECT id, caption_source, text,
   mark
   OR (NOT number_end AND IF(o2.n IS NOT NULL, o2.ended / o2.n, IF(coalesce(g2.closing, 0) >= {least} AND g2.closing > g2.inside, 0, coalesce(o1.ended / o1.n, 0))) >= {opening_share})
-  OR (coalesce(o2.n, 0) < {label_min} AND coalesce(g1.closing, 0) <= {share} * (g1.inside + g1.closing) AND
+  OR ((coalesce(o2.ended / o2.n, 1) >= {opening_share}
+       OR l2.closing - 1 <= {share} * (l2.n - 1)
+          AND (l2.closing - 1 + {unseen} <= {share} * (l2.n - 1) OR l1.closing - 1 + {unseen} <= {share} * (l1.n - 1)))
+      AND coalesce(g1.closing, 0) <= {share} * (g1.inside + g1.closing) AND
       IF(coalesce(g3.inside, 0) >= {least}, g3.closing <= {share} * (g3.inside + g3.closing),
          coalesce(g2.inside, 0) >= {least} AND g2.closing <= {share} * (g2.inside + g2.closing)))
   OR (NOT number_end AND parts > 1 AND closing_words <= 2)
@@ -97,10 +114,11 @@ SELECT id, caption_source, text,
 FROM {asked} t
 LEFT JOIN {grams} g3 ON g3.key = t.k3 LEFT JOIN {grams} g2 ON g2.key = t.k2 LEFT JOIN {grams} g1 ON g1.key = t.k1
 LEFT JOIN {often} o2 ON o2.key = t.p2 LEFT JOIN {often} o1 ON o1.key = t.p1
+LEFT JOIN {labels} l2 ON l2.key = xxhash64(t.p2, t.k1) LEFT JOIN {labels} l1 ON l1.key = t.k1
 LEFT JOIN {beginnings} b ON b.beginning = t.tail
 """
 ASKED = """
-SELECT id, caption_source, text, done, number_end, mark, tail, size(segments) AS parts, size(split(closing, ' ')) AS closing_words,
+SELECT id, caption_source, text, done, number_end, mark, tail, size(segments) AS parts, size(split(closing, ' ')) AS closing_words, closing,
   k1, k2, k3,
   IF(size(split(closing, ' ')) > 1, xxhash64(2, slice(split(closing, ' '), 1, 2)), NULL) AS p2, xxhash64(1, slice(split(closing, ' '), 1, 1)) AS p1
 FROM {tokens} WHERE NOT done
@@ -133,9 +151,10 @@ def decisions(images: DataFrame) -> DataFrame:
     closing = _sql(spark, CLOSING, tokens=tokens)
     counted = _sql(spark, GRAMS, tokens=tokens).join(keys, "key", "left_semi").join(closing, "key", "left")
     grams = checkpoint(counted.select("key", (F.col("n") - F.coalesce("closing", F.lit(0))).alias("inside"), F.coalesce("closing", F.lit(0)).alias("closing")))
-    often = _sql(spark, OPENINGS, tokens=tokens).where(F.col("n") >= OPENING_MIN)
+    often = checkpoint(_sql(spark, OPENINGS, tokens=tokens).where(F.col("n") >= OPENING_MIN))
+    labels = _sql(spark, LABELS, asked=asked, often=often, opening_share=OPENING_SHARE)
     beginnings = _sql(spark, BEGINNINGS, tokens=tokens, least=INNER_MIN)
-    return _sql(spark, DECIDED, asked=asked, grams=grams, often=checkpoint(often), beginnings=beginnings, least=INNER_MIN, label_min=LABEL_MIN, share=TERMINAL_SHARE, opening_share=OPENING_SHARE)
+    return _sql(spark, DECIDED, asked=asked, grams=grams, often=often, labels=labels, beginnings=beginnings, least=INNER_MIN, unseen=UNSEEN, share=TERMINAL_SHARE, opening_share=OPENING_SHARE)
 
 
 def found(images: DataFrame) -> DataFrame:

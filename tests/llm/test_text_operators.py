@@ -62,6 +62,20 @@ def test_truncation(spark):
     assert [r.n_cut for r in report] == [len(cut)]
 
 
+def test_truncation_of_frequent_labels(spark):
+    rng = random.Random(2)
+    nouns = "pump valve motor tank filter switch panel relay boiler turbine".split()
+    rows = []
+    for i in range(400):
+        a, b, c, d = (rng.choice(nouns) for _ in range(4))
+        rows.append(image(f"whole{i}", f"Photograph of the {a}, {b} and the {c}. The operator opens the {d} of the {a} before the start."))
+        rows.append(image(f"parts{i}", f"Parts list for the {a}: {b}, {c} and {d}"))
+        rows.append(image(f"plate{i}", f"Nameplate of the {a}"))
+    cut = ["Parts list for the pump: panel, channel and the", "Parts list for the", "Nameplate of the"]
+    rows += [image(f"cut{i}", c) for i, c in enumerate(cut)] + [image("cut0", cut[0])]
+    assert {r.image_id for r in truncation.found(spark.createDataFrame(rows, IMAGE)).collect()} == {f"cut{i}" for i in range(len(cut))}
+
+
 # ---- problem 2
 
 
