@@ -16,8 +16,10 @@ Buckets travel as packed arrays of one part of the key space, not as rows.
 
 Results: pairs are distinct, left < right by code point. Texts with fewer than 40 words, null
 and empty ones have no pair. Hashes that aren't 64 hex digits are compared only with
-themselves, so they have none. Of a class of more than EXPAND equal texts the members are
-linked to the smallest member, not to each other (p5_groups has the membership of all).
+themselves, so they have none. Different texts are linked one by one, also where their words are
+equal. Of more than EXPAND copies, equal in every byte, the smallest id stands for all: in pairs
+with other texts, and in a pair with each copy. p5_copies has the copies of all texts, from which
+the other pairs follow, and n_links of p5_groups counts these too.
 """
 
 from __future__ import annotations
@@ -241,13 +243,20 @@ def _verify(threshold: float):
 
 
 def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """id, text, t -> id, h, t: the texts of MIN_WORDS words or more."""
     for batch in batches:
         big, key, _, _ = text_sets(batch.column(1))
-        yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(big)), pa.array(vec.signed(key))], names=["id", "h"])
+        yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(big)), pa.array(vec.signed(key)), batch.column(2).take(pa.array(big))], names=["id", "h", "t"])
+
+
+def text_members(elements: DataFrame) -> DataFrame:
+    """id, h, t: ids with the class of equal words (h), in it that of equal bytes (t)."""
+    long = elements.where((F.length("text") >= 2 * MIN_WORDS - 1) & F.col("id").isNotNull())
+    return long.select("id", "text", F.xxhash64("text").alias("t")).mapInArrow(_keys, "id string, h bigint, t bigint").distinct()
 
 
 def text_links(elements: DataFrame, threshold: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
-    """(members: id, h) and (links: a, b between the classes of equal word sequences)."""
+    """(members: id, h, t) and (links: a, b between the classes of equal word sequences)."""
     spark = elements.sparkSession
     parts = shuffle_partitions(spark) * PARTS
     long = elements.where(F.length("text") >= 2 * MIN_WORDS - 1)
@@ -264,8 +273,7 @@ def text_links(elements: DataFrame, threshold: float = SIMILARITY) -> tuple[Data
     sets = text.mapInArrow(_sets, "h bigint, grams binary").join(wanted, "h", "left_semi").groupBy("h").agg(F.first("grams").alias("grams"))
     pairs = likely.join(sets.select(F.col("h").alias("a"), F.col("grams").alias("x")), "a").join(sets.select(F.col("h").alias("b"), F.col("grams").alias("y")), "b")
     links = pairs.select("a", "b", "x", "y").mapInArrow(_verify(threshold), "a bigint, b bigint")
-    members = long.select("id", "text").where(F.col("id").isNotNull()).mapInArrow(_keys, "id string, h bigint").distinct()
-    return members, links
+    return text_members(elements), links
 
 
 def _groups_of(blocks: int, groups: int) -> list[tuple[int, int]]:
@@ -340,33 +348,60 @@ def hash_links(images: DataFrame, radius: int = RADIUS) -> DataFrame:
 
 def element_pairs(members: DataFrame, links: DataFrame) -> DataFrame:
     """left_key, right_key: the pairs of element ids behind the classes and their links."""
-    sized = checkpoint(members)
-    n = sized.groupBy("h").agg(F.count("*").alias("n"), F.min("id").alias("rep"))
-    few = n.where((F.col("n") > 1) & (F.col("n") <= EXPAND)).select("h")
-    many = n.where(F.col("n") > EXPAND).select("h", "rep")
-    own = sized.join(few, "h", "left_semi")
+    n = members.groupBy("h", "t").agg(F.count("*").alias("n"), F.min("id").alias("rep"))
+    placed = members.join(n, ["h", "t"])
+    star = placed.where((F.col("n") > EXPAND) & (F.col("id") != F.col("rep"))).select(F.col("rep").alias("left_key"), F.col("id").alias("right_key"))
+    # More than EXPAND copies stand in pairs with other texts as their smallest id.
+    shown = placed.where((F.col("n") <= EXPAND) | (F.col("id") == F.col("rep"))).select("h", "id")
+    own = shown.join(members.groupBy("h").count().where("count > 1"), "h", "left_semi")
     inside = own.alias("x").join(own.alias("y"), "h").where(F.col("x.id") < F.col("y.id")).select(F.col("x.id").alias("left_key"), F.col("y.id").alias("right_key"))
-    star = sized.join(many, "h").where(F.col("id") != F.col("rep")).select(F.col("rep").alias("left_key"), F.col("id").alias("right_key"))
-    # A class of more than EXPAND members stands in links as its representative.
-    shown = sized.join(n, "h").where((F.col("n") <= EXPAND) | (F.col("id") == F.col("rep"))).select("h", "id")
     across = links.join(shown.select(F.col("h").alias("a"), F.col("id").alias("x")), "a").join(shown.select(F.col("h").alias("b"), F.col("id").alias("y")), "b").select(F.least("x", "y").alias("left_key"), F.greatest("x", "y").alias("right_key"))
     return inside.unionAll(star).unionAll(across).where(F.col("left_key") != F.col("right_key"))
 
 
+def element_counts(members: DataFrame, links: DataFrame) -> DataFrame:
+    """record_key, n_links: of how many pairs an id is, all copies counted, from the sizes of classes."""
+    beside = links.select("a", "b").unionAll(links.select("b", "a")).unionAll(members.select("h", "h")).distinct().toDF("h", "near")
+    held = members.select("id", "h").distinct()
+    size = held.groupBy(F.col("h").alias("near")).agg(F.count("*").alias("n"))
+    seen = held.join(beside, "h").select("id", "near").distinct()
+    # An id that came with several texts is a member of several classes, but one partner.
+    several = held.join(held.groupBy("id").count().where("count > 1"), "id", "left_semi").select(F.col("id").alias("other"), F.col("h").alias("near"))
+    again = seen.join(several, "near").groupBy("id", "other").agg((F.count("*") - 1).alias("n")).groupBy("id").agg(F.sum("n").alias("again"))
+    total = seen.join(size, "near").groupBy("id").agg(F.sum("n").alias("n"))
+    counted = total.join(again, "id", "left").select(F.col("id").alias("record_key"), (F.col("n") - F.coalesce("again", F.lit(0)) - 1).alias("n_links"))
+    return counted.where("n_links > 0")
+
+
+def all_pairs(members: DataFrame, links: DataFrame, images: DataFrame) -> DataFrame:
+    pairs = element_pairs(members, links).select(F.lit("element").alias("record_kind"), "left_key", "right_key")
+    return pairs.unionAll(hash_links(images).select(F.lit("image").alias("record_kind"), "left_key", "right_key")).distinct()
+
+
 def found(elements: DataFrame, images: DataFrame) -> DataFrame:
     """record_kind, left_key, right_key."""
     members, links = text_links(elements)
-    pairs = element_pairs(members, links).select(F.lit("element").alias("record_kind"), "left_key", "right_key")
-    return pairs.unionAll(hash_links(images).select(F.lit("image").alias("record_kind"), "left_key", "right_key")).distinct()
+    return all_pairs(checkpoint(members), links, images)
+
+
+def copies(elements: DataFrame) -> DataFrame:
+    """element_id, copy_key, n_copies: the ids of texts with MIN_WORDS words or more, the smallest id
+    with the same text, equal in every byte, and how many ids have it."""
+    members = checkpoint(text_members(elements))
+    n = members.groupBy("h", "t").agg(F.min("id").alias("copy_key"), F.count("*").alias("n_copies"))
+    return members.join(n, ["h", "t"]).select(F.col("id").alias("element_id"), "copy_key", "n_copies").distinct()
 
 
 def groups(elements: DataFrame, images: DataFrame) -> DataFrame:
     """record_kind, record_key, class_key, n_links: every element id and every non-empty lower-cased
     image hash with the smallest key of its group (its own if it is alone) and its links."""
-    pairs = checkpoint(found(elements, images))
+    members, links = text_links(elements)
+    members, links = checkpoint(members), checkpoint(links)
+    pairs = checkpoint(all_pairs(members, links, images))
     tag = lambda c: F.concat("record_kind", F.lit(":"), c)
     member = components(pairs.select(tag("left_key").alias("a"), tag("right_key").alias("b"))).withColumnRenamed("node", "tagged")
-    n = pairs.select("record_kind", F.explode(F.array("left_key", "right_key")).alias("record_key")).groupBy("record_kind", "record_key").agg(F.count("*").alias("n_links"))
+    n = pairs.where("record_kind = 'image'").select("record_kind", F.explode(F.array("left_key", "right_key")).alias("record_key")).groupBy("record_kind", "record_key").agg(F.count("*").alias("n_links"))
+    n = n.unionByName(element_counts(members, links).withColumn("record_kind", F.lit("element")))
     every = elements.where(F.col("id").isNotNull()).select(F.lit("element").alias("record_kind"), F.col("id").alias("record_key")).unionAll(images.where(F.length("image_hash") > 0).select(F.lit("image"), F.lower("image_hash"))).distinct()
     joined = every.join(n, ["record_kind", "record_key"], "left").withColumn("tagged", tag("record_key")).join(member, "tagged", "left")
     root = F.expr("substring(root, length(record_kind) + 2)")

@@ -45,6 +45,10 @@ def p5_groups(spark: SparkSession, d: str) -> DataFrame:
     return neardup.groups(table(spark, d, "canonical_elements"), table(spark, d, "image_assets"))
 
 
+def p5_copies(spark: SparkSession, d: str) -> DataFrame:
+    return neardup.copies(table(spark, d, "canonical_elements"))
+
+
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return pieces.found(table(spark, d, "canonical_elements"))
 
@@ -76,7 +80,7 @@ def p10_statistics(spark: SparkSession, d: str) -> DataFrame:
     return quality.statistics(table(spark, d, "documents"), table(spark, d, "common_words"))
 
 
-NAMES = "p1_found p1_source_report p2_found p2_kept p3_found p3_repaired p5_found p5_groups p6_found p6_pieces p8_ids p9_found p9_items p10_found p10_statistics".split()
+NAMES = "p1_found p1_source_report p2_found p2_kept p3_found p3_repaired p5_found p5_groups p5_copies p6_found p6_pieces p8_ids p9_found p9_items p10_found p10_statistics".split()
 
 
 def queries() -> dict[str, Query]:

@@ -193,6 +193,35 @@ def test_copies_and_long_texts(spark):
     assert {classes[f"e{i:03d}"] for i in range(neardup.EXPAND + 6)} == {"e000"} and classes["z"] == "e000" and classes["short"] == "short" and classes["L2"] == "L1"
 
 
+def test_many_texts_of_equal_words(spark):
+    rng = random.Random(4)
+    words = [f"w{rng.randrange(3000)}" for _ in range(60)]
+    texts = [" ".join(words[:k] + [words[k] + ","] + words[k + 1 :]) for k in range(40)]
+    rows = [(f"v{i:02d}", t) for i, t in enumerate(texts + [t.upper() for t in texts])] + [("z", texts[0] + " tail"), ("v03", texts[1])]
+    df, none = spark.createDataFrame([element(i, t) for i, t in rows], ELEMENT), spark.createDataFrame([], IMAGE)
+    expected = brute_pairs(rows)
+    assert len(expected) == 81 * 80 // 2
+    assert {(r.left_key, r.right_key) for r in neardup.found(df, none).collect()} == expected
+    assert {r.record_key: r.n_links for r in neardup.groups(df, none).collect()} == {i: 80 for i, _ in rows}
+
+
+def test_copies_and_their_links_are_counted(spark):
+    text = " ".join(f"w{k}" for k in range(60))
+    size = neardup.EXPAND + 6
+    rows = [element(f"e{i:03d}", text) for i in range(size)] + [element("z", text + " tail"), element("z2", text + " tail"), element("short", "a b")]
+    df, none = spark.createDataFrame(rows, ELEMENT), spark.createDataFrame([], IMAGE)
+    links = {r.record_key: r.n_links for r in neardup.groups(df, none).collect()}
+    assert links == {f"e{i:03d}": size + 1 for i in range(size)} | {"z": size + 1, "z2": size + 1, "short": 0}
+    held = {r.element_id: (r.copy_key, r.n_copies) for r in neardup.copies(df).collect()}
+    assert held == {f"e{i:03d}": ("e000", size) for i in range(size)} | {"z": ("z", 2), "z2": ("z", 2)}
+    by = defaultdict(set)
+    for i, (k, _) in held.items():
+        by[k].add(i)
+    pairs = {(r.left_key, r.right_key) for r in neardup.found(df, none).collect()}
+    full = {(min(i, j), max(i, j)) for a, b in pairs | {(k, k) for k in by} for i in by[held[a][0]] for j in by[held[b][0]] if i != j}
+    assert full == brute_pairs([(r[0], r[3]) for r in rows])
+
+
 def test_hashes_within_the_radius_are_never_missed(spark):
     rng, rows, values = random.Random(3), [], []
     for k in range(60):
