@@ -3,8 +3,10 @@
 Every line of a text is weighed by its characters. Running sentences are recognised by common
 words of several languages (or, outside the Latin script, by letters and sentence marks).
 Tables show in delimiters that stand in equal number on neighbouring lines (vertical
-alignment); lists in openings of entries, in an indentation that repeats with a period, and in
-short lines whose lengths follow each other (autocorrelation). What repeats, has no words,
+alignment); lists in openings of entries and in short lines. Longer lines of words that no mark
+settles are a list if the indentation of all unmarked lines repeats with a period or their lengths
+follow each other (autocorrelation), and a table if these are constant and gaps stand below each
+other. What repeats, has no words,
 or is only commands, logs or encoded data is junk. A text of which running sentences make up
 less than PROSE_SHARE of the characters gets the class that prevails.
 
@@ -29,6 +31,11 @@ WORDS_IN_SENTENCE = 6
 #: The word lists of a few languages; more words than this would be no list of common words.
 COMMON_WORDS_MAX = 200_000
 
+#: Unmarked lines show a layout from so many on, and from such an autocorrelation; that of lengths
+#: must also be over CHANCE standard errors.
+LAYOUT_LINES, LAYOUT, CHANCE = 4, 0.5, 2.5
+PERIODS, LAGS = range(1, 7), range(1, 4)
+
 WORD = re.compile(r"[^\W\d_]+")
 MATH = re.compile(r"\$[^$\n]*\$|\\[A-Za-z]+\*?(?:\[[^\]\n]*\])?")
 ENTRY = re.compile(r"^\s*(?:\\(?:item|bibitem)\b|[-*•‣◦·–—]\s|\(?\d{1,5}[.)\]]\s|\[[^\]]{1,20}\]\s|\(?[a-zA-Z][.)]\s)")
@@ -42,6 +49,7 @@ GAP = re.compile(r"(?<=\S)(?: {2,}|\t+)(?=\S)")
 FOREIGN = re.compile(r"[Ͱ-῿぀-鿿가-힯]")
 STOPS = re.compile(r"[.!?。！？؟।]")
 END = re.compile(r"[.!?…:;。！？]['\"”’)\]]*$")
+PLAIN = re.compile(r"\(?[^\W_]{1,40}(?:[-/'’.,][^\W_]{1,40})*[,.:)]{0,2}")
 CLASSES = ("list", "table", "junk")
 
 
@@ -72,6 +80,26 @@ def autocorrelation(x: np.ndarray, lags: range) -> float:
     return max((float((x[k:] * x[:-k]).sum()) / total for k in lags if k < len(x) - 1), default=0.0)
 
 
+def is_plain(line: str) -> bool:
+    """Whether a line is mostly separate words, not encoded or garbled."""
+    tokens = line.split()
+    return len(tokens) > 1 and sum(map(len, WORD.findall(line))) >= 0.6 * sum(map(len, tokens)) and sum(bool(PLAIN.fullmatch(t)) for t in tokens) >= 0.8 * len(tokens)
+
+
+def layout(lines: list[str]) -> str:
+    """The class of unmarked lines of words by their indentation and lengths."""
+    if len(lines) < LAYOUT_LINES:
+        return "junk"
+    indent = np.array([len(s) - len(s.lstrip()) for s in lines], float)
+    length = np.array([len(s.strip()) for s in lines], float)
+    constant = not np.ptp(length)
+    if constant and set.intersection(*({m.start() for m in re.finditer(r"\s", s.strip())} for s in lines)):
+        return "table"
+    if indent.any() and autocorrelation(indent, PERIODS) >= LAYOUT:
+        return "list"
+    return "list" if not constant and autocorrelation(length, LAGS) >= max(LAYOUT, CHANCE / len(lines) ** 0.5) else "junk"
+
+
 def analyse(text: str, common: frozenset) -> dict:
     """Statistics and class of one text that isn't blank."""
     lines = [s for s in re.split(r"[\r\n\u2028\x0b\x0c]+", text.lstrip("\ufeff")) if s.strip()]
@@ -106,9 +134,10 @@ def analyse(text: str, common: frozenset) -> dict:
     aligned = 0
     indent = np.array([len(s) - len(s.lstrip()) for s in lines], float)
     length = np.array(weight, float)
-    indent_period = autocorrelation(indent, range(1, 7)) if indent.any() else 0.0
-    length_follow = autocorrelation(length, range(1, 4))
+    indent_period = autocorrelation(indent, PERIODS) if indent.any() else 0.0
+    length_follow = autocorrelation(length, LAGS)
     repeated = sum(shape[keys[i]] > 2 for i in rest) >= 0.5 * len(rest) and len(shape) <= max(2, 0.5 * len(rest))
+    unmarked, unsettled = [], []
     for j, i in enumerate(rest):
         s = lines[i].strip()
         mark, n = counts[i]
@@ -131,11 +160,19 @@ def analyse(text: str, common: frozenset) -> dict:
             kind = "table"
         elif len(words) <= 8 and len(s) <= 100 and len(rest) > 1 and len("".join(words)) >= 0.6 * len(s.replace(" ", "")) and not (len(words) == 1 and len(s) > 30):
             kind = "list"
+            unmarked.append(lines[i])
         else:
             kind = "junk"
+            if is_plain(s):
+                unmarked.append(lines[i])
+                unsettled.append(i)
         if repeated and kind == "list":
             kind = "junk"
         kinds[i] = kind
+    if unsettled and not repeated:
+        kind = layout(unmarked)
+        for i in unsettled:
+            kinds[i] = kind
     for k, w in zip(kinds, weight):
         by[k] += w
     prose = by["prose"] / total

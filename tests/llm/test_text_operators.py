@@ -367,6 +367,25 @@ def test_text_classes(text, kind):
     assert quality.analyse(text, common)["text_class"] == kind
 
 
+PARTS = [
+    "Copper flange DN80 upstream condenser bracket assembly spare gasket ring", "Steel elbow DN25 downstream boiler vessel manifold drain plug sealing tape", "Bronze impeller series seven centrifugal pump housing stage two bearing sleeve",
+    "Rubber diaphragm metering pump head suction side clamp bolt washer pair", "Brass nozzle spray header cooling tower basin level float arm hinge", "Glass gauge column high pressure drum isolation cock handle left hand thread",
+]
+POOL = " ".join(PARTS).split()
+
+
+@pytest.mark.parametrize(
+    "lines, kind",
+    [
+        ([" " + s for s in PARTS], "list"), (["  " * (i % 2) + s for i, s in enumerate(PARTS)], "list"), ([" ".join(POOL[(5 * k + j) % len(POOL)] for j in range(9 + k // 3)) for k in range(24)], "list"),
+        ([" ".join(w[:6].ljust(6, "x") for w in s.split()[:9]) for s in PARTS], "table"), (PARTS, "junk"), ([" " + "aGVsbG8gd29ybGQhIGJhc2U2NA" * 3 + s[:4].strip() for s in PARTS], "junk"), (["  " + s.replace("e", ";").replace("a", "\\") for s in PARTS], "junk"),
+    ],
+)
+def test_layout_of_lines_without_marks(lines, kind):
+    common = frozenset("the is in and of it was not on a to".split())
+    assert quality.analyse("\n".join(lines), common)["text_class"] == kind
+
+
 def test_statistics_rows(spark):
     df = spark.createDataFrame([(1, "The pump is in the house.", "", "", ""), (2, None, "", "", ""), (3, "", "", "", ""), (4, " \ufeff\n", "", "", ""), (4, " \ufeff\n", "", "", ""), (5, "a" * 300000, "", "", ""), (None, "x", "", "", "")], DOC)
     words = spark.createDataFrame([("en", "THE"), ("en", "is"), (None, None)], "lang string, word string")
