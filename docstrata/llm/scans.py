@@ -6,7 +6,8 @@ out, which bounds the model by 1 / share entries at every corpus size, so it can
 the executors. Probabilities of character confusions are counted over all distinct unknown
 words of the scanned texts: those that one confusion turns into exactly one known word. A
 line with unknown words is decoded by Viterbi over the candidates of each word: channel times
-bigram likelihood. A word is misread if the best path reads it as another.
+bigram likelihood. What looks like a tag or a number is decoded too if confusions turn it into a
+known word; it stays if a tag is likelier. A word is misread if the best path reads it as another.
 
 Before that, lines are put together: page numbers and running headers on lines of their own are
 taken out, and a word at a line's end with a hyphen is joined with the next line's first when
@@ -48,6 +49,11 @@ EDGE = " \t.,;:?()[]{}\"“”„'’»«…*"
 SKIP = re.compile(r"^(?:[A-Z]{1,5}[-/]?\d[\w.=/-]*|[\d.,:/%°+-]+\w{0,3}|.*[=<>].*|.*(?<!\\)/(?!\\).*|.*\\(?!/).*|[A-Z]{2,}|°?[A-Z]|\[\d+\])$")
 #: Tags of instruments and bare numbers, as labels in pictures have them.
 TAGS = re.compile(r"^(?:[A-Z]{1,5}[-/]?\d[\w./-]*|[\d.,]+)$")
+#: What SKIP takes for a tag or a number, but may be a word with one or two letters read as digits.
+MISTAKEN = re.compile(r"^(?=.{3})(?=(?:.*[^\W\d_]){2})(?!\d+(?:st|nd|rd|th|er|ers|ème)$)(?:[^\W\d_]*\d){1,2}[^\W\d_]*$")
+#: A tag is as likely as so many words and its characters by chance.
+TAG_SHARE, TAG_CHARACTERS = 1e-3, 36
+UNKNOWN = 1e-11
 HYPHEN = "\u2010\u2011\u00ac\u00ad-"
 BREAK = re.compile(r"(\S+?)([\u2010\u2011\u00ac\u00ad-])[ \t\u00a0]*$")
 PAGE = re.compile(
@@ -97,10 +103,14 @@ class Model:
                 yield token[:at] + true + token[at + len(seen) :], cost
                 at = token.find(seen, at + 1)
 
+    def readable(self, token: str) -> bool:
+        """Whether a token is a word, or a tag or number that confusions turn into one."""
+        return is_word(token) or bool(MISTAKEN.match(token) and self.candidates(token))
+
     def step(self, before: str, w: str) -> float:
         n = self.words.get(w, 0)
         if not n:
-            return log(1e-11)
+            return log(UNKNOWN)
         p = n / self.total
         m = self.words.get(before, 0)
         return log(0.3 * p + 0.7 * (self.pairs.get((before, w), 0) / m if m else p))
@@ -112,8 +122,10 @@ class Model:
         for t in tokens:
             low = t.lower()
             options = [(low, log(0.97))]
-            if low not in self.words and is_word(t):
+            if low not in self.words and self.readable(t):
                 options += self.candidates(t)
+                if not is_word(t):
+                    options[0] = (low, log(TAG_SHARE) - len(t) * log(TAG_CHARACTERS) - log(UNKNOWN))
             nxt = []
             for w, c in options:
                 score, back = max((s + self.step(p, w), -k) for k, (s, p, _) in enumerate(last))
@@ -203,7 +215,7 @@ def repair(text: str, model: Model) -> tuple[str, set[str]]:
             nxt = body[i + 1].split()[0]
             right = nxt.strip(EDGE)
             left = tokens[-1].rstrip(HYPHEN + " ").lstrip(EDGE)
-            if right and right[0].isalpha() and not right[0].isupper() and any(c.isalpha() for c in left) and not SKIP.match(left):
+            if right and right[0].isalpha() and not right[0].isupper() and any(c.isalpha() for c in left) and (not SKIP.match(left) or model.readable(left + right)):
                 stem = left.rsplit("-", 1)[-1] if "-" in left else left
                 if broken(left, right, model) or (stem != left and broken(stem, right, model)):
                     noise.add("broken_word")
@@ -215,7 +227,7 @@ def repair(text: str, model: Model) -> tuple[str, set[str]]:
         out.append(tokens)
     words = [[t.strip(EDGE) for t in tokens] for tokens in out]
     for k, line in enumerate(words):
-        if any(is_word(t) and t.lower() not in model.words and model.candidates(t) for t in line):
+        if any(model.readable(t) and t.lower() not in model.words and model.candidates(t) for t in line):
             for j, (t, r) in enumerate(zip(line, model.decode(line))):
                 if t.lower() != r:
                     noise.add("misread")

@@ -121,6 +121,16 @@ def test_scan_repair():
     assert kinds("Page 3")[1] == set()
 
 
+def test_misread_words_that_look_like_tags_or_numbers():
+    words = {w: 50 for w in "the control plate valve open seal load is ist drains before pump".split()}
+    model = scans.Model(words, {}, frozenset())
+    for seen, true in ("C0ntrol", "Control"), ("P1ate", "Plate"), ("V4lve", "Valve"), ("0pen", "open"), ("5eal", "seal"), ("1oad", "load"), ("C0ntr0l", "Control"):
+        assert scans.repair(f"the {seen} drains the pump", model) == (f"the {true} drains the pump", {"misread"})
+    assert scans.repair("the C0n-\ntrol drains", model) == ("the Control drains", {"broken_word", "misread"})
+    for tag in "TK-131 PV9 XV341 I5 1st 5s 12mm 3D DN80 H2O 4th 0.5".split():
+        assert scans.repair(f"the {tag} drains the pump", model) == (f"the {tag} drains the pump", set())
+
+
 def test_scans_on_tables(spark):
     clean = [element(f"c{i}", "The pump drains the valve before the boiler starts.", source="layout") for i in range(9)]
     dirty = [element("a", "The pump dralns the valve before\nPage 3\nthe boi-\nler starts."), element("b", "The purnp", "heading"), element("n", None), element(None, "The purnp"), element("w", "The pump", source=None)]
