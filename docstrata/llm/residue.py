@@ -67,12 +67,13 @@ MARKUP = frozenset("a abbr b big blockquote body br center code dd div dl dt em
 #: Function words allowed beside phrases without lowering their coverage.
 GLUE = frozenset("the a an to of for in on at is are was and or this that it you your our we please be been with from by before again der die das und zu um ist sie bitte le la les et pour de du est el los y para por se un una # - – —".split())
 
-#: Placeholder syntax; tried only where the automaton met its opening.
+#: Placeholder syntax of any length; tried only where the automaton met its opening. What stands between the
+#: marks excludes them, so a match is over at the next one.
 SYNTAX = {
-    "{": re.compile(r"\{\{\s*[^{}]{1,60}?\s*\}\}|\{%[^%{}]{1,60}%\}|\{[A-Za-z_][\w.]+\}"),
-    "$": re.compile(r"\$\{[^{}]{1,60}\}|\$\([A-Za-z_][\w.]*\)"),
-    "<": re.compile(r"<%=?[^%<>]{1,60}%>|<([A-Za-z_][\w.-]*)>|<no [a-z]+>", re.IGNORECASE),
-    "[": re.compile(r"\[\[[^\[\]]{1,60}\]\]|\[\s*insert\b[^\[\]]{0,60}\]|\[[^\[\]]{1,60}\bgoes here\s*\]|\[(?:your|add|enter)\b[^\[\]]{1,60}\]", re.IGNORECASE),
+    "{": re.compile(r"\{\{[^{}]+\}\}|\{%[^%{}]+%\}|\{[A-Za-z_][\w.]+\}"),
+    "$": re.compile(r"\$\{[^{}]+\}|\$\([A-Za-z_][\w.]*\)"),
+    "<": re.compile(r"<%=?[^%<>]+%>|<([A-Za-z_][\w.-]*)>|<no [a-z]+>", re.IGNORECASE),
+    "[": re.compile(r"\[\[[^\[\]]+\]\]|\[\s*insert\b[^\[\]]*\]|\[[^\[\]]+\bgoes here\s*\]|\[(?:your|add|enter)\b[^\[\]]+\]", re.IGNORECASE),
     "%": re.compile(r"%%[A-Za-z_][\w.]*%%"),
     "#": re.compile(r"#[A-Za-z_][\w.]*#"),
     "_": re.compile(r"__[A-Za-z][A-Za-z0-9_.]*?__"),
@@ -113,8 +114,8 @@ def is_residue(caption: str | None) -> bool:
             if not (what[0].isalnum() and before.isalnum()) and not (what[-1].isalnum() and after.isalnum()):
                 covered[first : end + 1] = b"\1" * len(what)
     if any(c in masked for c in SYNTAX):
-        for _, (kind, what) in automaton().iter(masked):
-            if kind == "open" and any((m[0][0] != "<" or not m.groups() or not m[1] or m[1].lower() not in MARKUP) for m in SYNTAX[what].finditer(masked)):
+        for what in {what for _, (kind, what) in automaton().iter(masked) if kind == "open"}:
+            if any((m[0][0] != "<" or not m.groups() or not m[1] or m[1].lower() not in MARKUP) for m in SYNTAX[what].finditer(masked)):
                 return True
     plain = re.sub(r"\s+", " ", low).strip(" .:;,!?")
     if plain in EMPTY_VALUES:

@@ -3,6 +3,7 @@
 import os
 import random
 import re
+import time
 from collections import defaultdict
 
 import numpy as np
@@ -97,6 +98,23 @@ def test_no_residue(text):
     assert not residue.is_residue(text)
 
 
+LONG = "pump beside the tank in the boiler room of the old plant, with the name of its photographer and the year"
+
+
+@pytest.mark.parametrize("mark", ["{{ %s }}", "{%% %s %%}", "${%s}", "<%%= %s %%>", "[[%s]]", "[insert a short view of the %s]", "[The %s goes here]", "[add %s]"])
+def test_long_placeholders(mark):
+    assert residue.is_residue(f"Side view of the turbine hall. {mark % LONG} Valves are closed.")
+    assert not residue.is_residue(f"Side view of the turbine hall. {LONG} Valves are closed.")
+
+
+def test_placeholders_without_an_end_take_linear_time():
+    start = time.monotonic()
+    for mark in ("{{ ", "{% ", "${", "<%= ", "[[", "[insert ", "[ goes here "):
+        for text in (mark * 20_000, mark + " " * 60_000, mark + "goes here " * 6_000):
+            residue.is_residue("View of a pump. " + text)
+    assert time.monotonic() - start < 30
+
+
 # ---- problem 3
 
 
