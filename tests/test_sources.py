@@ -47,3 +47,13 @@ def test_inbox(spark, tmp_path):
     stream = inbox.elements_stream(spark, str(tmp_path / "in"), rows.schema)
     inbox.run(stream, lambda df: df.groupBy("id").count(), str(tmp_path / "out"), str(tmp_path / "state")).awaitTermination(120)
     assert {(r.id, r["count"]) for r in spark.read.parquet(str(tmp_path / "out")).collect()} == {("a", 1), ("b", 1)}
+
+
+def test_inbox_keeps_late_rows(spark, tmp_path):
+    where = [str(tmp_path / x) for x in ("in", "out", "state")]
+    deliveries = ["('a', '2024-12-01'), (NULL, '2024-01-01')", "('b', '2024-01-01'), ('b', '2024-12-02'), ('a', '2024-12-30')", "('c', '2023-01-01'), ('a', '2024-06-01'), ('b', '2023-01-01')"]
+    for d in deliveries:
+        rows = spark.sql(f"SELECT id, CAST(t AS timestamp) AS loaded_at FROM VALUES {d} AS t(id, t)")
+        rows.coalesce(1).write.mode("append").parquet(where[0])
+        inbox.run(inbox.elements_stream(spark, where[0], rows.schema), lambda df: df.select("id"), *where[1:]).awaitTermination(120)
+    assert sorted(str(r.id) for r in spark.read.parquet(where[1]).collect()) == ["None", "a", "b", "c"]
