@@ -74,7 +74,7 @@ class Model:
         self.longest = max(map(len, words), default=0)
 
     def candidates(self, token: str) -> list[tuple[str, float]]:
-        """Known words that one confusion, or two, may have turned into the token; best first."""
+        """All known words that one confusion, or two, may have turned into the token; best first."""
         if len(token) > self.longest + 2:  # a confusion shortens a word by one character at most
             return []
         found = self.known.get(token)
@@ -84,13 +84,13 @@ class Model:
             for w, c in once:
                 if w.lower() in self.words:
                     best[w.lower()] = max(best.get(w.lower(), -1e9), c)
-            if not best and len(token) >= 4:
+            if len(token) >= 4:
                 for v, c in once:
                     for w, c2 in self._variants(v):
                         if w.lower() in self.words:
                             best[w.lower()] = max(best.get(w.lower(), -1e9), c + c2)
             best.pop(token.lower(), None)
-            found = sorted(best.items(), key=lambda x: (-x[1] - log(self.words[x[0]]), x[0]))[:8]
+            found = sorted(best.items(), key=lambda x: (-x[1] - log(self.words[x[0]]), x[0]))
             if len(self.known) > 200_000:
                 self.known.clear()
             self.known[token] = found

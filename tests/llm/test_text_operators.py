@@ -149,6 +149,16 @@ def test_misread_words_that_look_like_tags_or_numbers():
         assert scans.repair(f"the {tag} drains the pump", model) == (f"the {tag} drains the pump", set())
 
 
+def test_all_candidates_reach_the_decoder():
+    near = ["seal", "beal", "geal", "oeal", "aeal", "eeal", "ueal", "veal", "yeal"]
+    words = {w: 1000 for w in [*near, "the"]} | {"zeal": 3}
+    costs = {("5", w[0]): -3.0 - (w == "zeal") for w in [*near, "zeal"]} | {("rn", "m"): -1.0, ("6", "d"): -1.0}
+    model = scans.Model(words, {("the", "zeal"): 990}, frozenset(), costs)
+    assert len(model.candidates("5eal")) == 10 and model.decode(["the", "5eal"]) == ["the", "zeal"]
+    model = scans.Model({"the": 1000, "dam": 1000, "darn": 50}, {("the", "dam"): 900}, frozenset(), costs)
+    assert model.decode(["the", "6arn"]) == ["the", "dam"]
+
+
 def test_scans_on_tables(spark):
     clean = [element(f"c{i}", "The pump drains the valve before the boiler starts.", source="layout") for i in range(9)]
     dirty = [element("a", "The pump dralns the valve before\nPage 3\nthe boi-\nler starts."), element("b", "The purnp", "heading"), element("n", None), element(None, "The purnp"), element("w", "The pump", source=None)]
