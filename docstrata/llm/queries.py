@@ -14,11 +14,19 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
-    return truncation.found(table(spark, d, "image_assets"))
+    images = table(spark, d, "image_assets")
+    return truncation.found(images, residue.found(images))
 
 
 def p1_source_report(spark: SparkSession, d: str) -> DataFrame:
-    return truncation.report(table(spark, d, "image_assets"))
+    images = table(spark, d, "image_assets")
+    return truncation.report(images, residue.found(images))
+
+
+def p1_ends(spark: SparkSession, d: str) -> DataFrame:
+    """How the final trigram of every caption, residue included, decides."""
+    rows = truncation.decisions(table(spark, d, "image_assets"))
+    return rows.select(F.col("id").alias("image_id"), "n", "t", F.round("end_share", 9).alias("end_share"), "cut").distinct()
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
@@ -80,7 +88,7 @@ def p10_statistics(spark: SparkSession, d: str) -> DataFrame:
     return quality.statistics(table(spark, d, "documents"), table(spark, d, "common_words"))
 
 
-NAMES = "p1_found p1_source_report p2_found p2_kept p3_found p3_repaired p5_found p5_groups p5_copies p6_found p6_pieces p8_ids p9_found p9_items p10_found p10_statistics".split()
+NAMES = "p1_found p1_source_report p1_ends p2_found p2_kept p3_found p3_repaired p5_found p5_groups p5_copies p6_found p6_pieces p8_ids p9_found p9_items p10_found p10_statistics".split()
 
 
 def queries() -> dict[str, Query]:
@@ -99,8 +107,38 @@ ig AS (SELECT item_id, w[k:k + 12] AS g FROM (SELECT item_id, w, unnest(range(1,
 leak AS (SELECT DISTINCT doc_id, item_id FROM dg JOIN ig USING (g))"""
 
 
+_share = lambda n, t, back, weight: f"(greatest({t} - 1, 0) + {weight}::DOUBLE * ({back})) / (greatest({n} - 1, 0) + {weight}::DOUBLE)"
+
+
+def _end_share(s: str, prior: str) -> str:
+    own = _share(f"n{s}3", f"t{s}3", _share(f"n{s}2", f"t{s}2", _share(f"n{s}1", f"t{s}1", prior, truncation.SINGLE), truncation.BACKOFF), truncation.BACKOFF)
+    word = _share(f"n{s}5", f"t{s}5", _share(f"n{s}4", f"t{s}4", prior, truncation.BACKOFF), truncation.BACKOFF)
+    return f"CASE WHEN NOT word THEN {own} WHEN n{s}1 - 1 >= {truncation.KNOWN} THEN least({own}, {word}) ELSE {word} END"
+
+
+_GRAMS = ["a || chr(1) || b || chr(1) || c", "b || chr(1) || c", "c", "CASE WHEN word THEN b END", "CASE WHEN word THEN a || chr(1) || b END"]
+_numbered = lambda s, prefix: ", ".join(f"{s}{i}.n AS n{prefix}{k}, {s}{i}.t AS t{prefix}{k}" for i, k in enumerate((3, 2, 1, 4, 5)))
+_joined = lambda s, side, key: " ".join(f"LEFT JOIN {side}{i} {s}{i} ON {s}{i}.key = {key}({g})" for i, g in enumerate(_GRAMS))
+#: The counts of every gram as own tables; string keys instead of hashes.
+ENDS = r"""WITH base AS (SELECT DISTINCT id, document_id, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(trim(regexp_replace(caption, '\s+', ' ', 'g')), '^([*"] ?|<p>)', ''), '( ?[*]|</p>)$', ''), '([.”)])"$', '\1'), '%s', '')) AS text FROM image_assets WHERE id IS NOT NULL AND length(trim(caption)) > 0),
+cut AS (SELECT id, document_id, text, regexp_matches(text, '%s') AND NOT regexp_matches(text, ' [\d.,]*\d\.$') AS done, regexp_extract_all(lower(regexp_replace(regexp_replace(regexp_replace(text, '([.!?]["”’)]?)\s+([\p{Lu}“"])', '\1 ¶ \2', 'g'), '\p{L}+-\d+([.,]\d+)*', 'tag', 'g'), '\d+([.,]\d*)*', '0', 'g')), '%s') AS words FROM base WHERE text <> ''),
+toks AS (SELECT *, len(words) AS n, CASE WHEN list_position(list_reverse(words), '¶') IS NULL THEN 1 ELSE len(words) + 2 - list_position(list_reverse(words), '¶') END AS s FROM cut WHERE len(words) > 0),
+spots AS (SELECT *, coalesce(words[i - 2], '') AS a, coalesce(words[i - 1], '') AS b, words[i] AS c, regexp_matches(words[i], '^\p{L}') AS word, i = n OR words[i + 1] = '¶' AS last, CASE WHEN n > s THEN words[s] || chr(1) || words[s + 1] END AS o FROM (SELECT *, unnest(range(1, n + 1)) AS i FROM (SELECT done, words, n, s FROM toks GROUP BY document_id, text, done, words, n, s))),
+fin AS (SELECT id, done, n, s, words, coalesce(words[n - 2], '') AS a, coalesce(words[n - 1], '') AS b, words[n] AS c, regexp_matches(words[n], '^\p{L}') AS word, CASE WHEN n > s THEN words[s] || chr(1) || words[s + 1] END AS o FROM toks),
+lab AS (SELECT *, o || chr(2) AS p FROM spots WHERE NOT done AND o IS NOT NULL AND i >= s),
+op AS (SELECT words[i] || chr(1) || words[i + 1] AS key, count(*) AS n, count(*) FILTER (WHERE NOT done AND i = s) AS t FROM spots WHERE i < n AND (i = 1 OR b = '¶') GROUP BY 1),
+lt AS (SELECT o AS key, count(*) AS n, count(*) FILTER (WHERE last) AS t FROM lab GROUP BY 1)""" % (truncation.TRACE, truncation.DONE, truncation.TOKEN)
+ENDS += "".join(f",\nu{i} AS MATERIALIZED (SELECT {g} AS key, count(*) AS n, count(*) FILTER (WHERE last) AS t FROM spots GROUP BY 1),\nl{i} AS MATERIALIZED (SELECT p || ({g}) AS key, count(*) AS n, count(*) FILTER (WHERE last) AS t FROM lab GROUP BY 1)" for i, g in enumerate(_GRAMS))
+ENDS += f""",
+found AS (SELECT f.id, f.done, f.word, {_numbered("ju", "u")}, {_numbered("jl", "l")}, lt.t AS tl0, lt.n AS nl0, CASE WHEN op.n >= {truncation.OPENING_MIN} THEN op.t / op.n END AS unmarked
+  FROM fin f {_joined("ju", "u", "")} {_joined("jl", "l", "f.o || chr(2) || ")} LEFT JOIN lt ON lt.key = f.o AND NOT f.done LEFT JOIN op ON op.key = f.o AND NOT f.done),
+shares AS (SELECT id, done, nu3, tu3, unmarked, CASE WHEN unmarked > 0.5 THEN {_end_share("l", "tl0 / nl0")} ELSE {_end_share("u", f"{truncation.PRIOR}::DOUBLE")} END AS share FROM found)
+SELECT DISTINCT id AS image_id, nu3 AS n, tu3 AS t, round(share, 9) AS end_share, share <= {truncation.SHARE} OR (NOT done AND share < {truncation.TIE} AND coalesce(unmarked < 0.5, false)) AS cut FROM shares"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
+        "p1_ends": ENDS,
         "p9_found": f"{LEAKS} SELECT * FROM leak",
         "p9_items": f"{LEAKS} SELECT item_id, suite, coalesce(n, 0) AS n_documents FROM eval_items LEFT JOIN (SELECT item_id, count(*) AS n FROM leak GROUP BY item_id) USING (item_id)",
         "p6_found": f"""WITH one AS ({ONE_ROW}),

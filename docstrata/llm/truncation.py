@@ -1,20 +1,25 @@
 """Text cut off by field limits or in transfer (problem 1), in SQL.
 
-Every word trigram is counted where text goes on after it and where a text ends with it. The
-final trigram of each text is joined with these counts: one that is frequent inside texts but
-almost never last marks a cut. Trigrams that were never seen back off, by joins as well, to
-the final pair of words; to the last word, when it is unknown but begins a frequent word; and
-to how the last sentence opens: a text without an end mark is cut if sentences that open so
-have one nearly always, while labels (which open otherwise) hardly ever do. Where a sentence
-opens like a label, its last word must also be one that other labels hardly ever end with: labels
-of the same opening, and by an upper bound of the share these or all labels. An unfinished tag, entity, escape or ellipsis at the end is the trace of a cut transfer, and one or two words after a
-full sentence are the beginning of a next one.
-
-All counts run over all captions that are no template residue. Numbers count as one word, and
-letters with a number after them (tags of instruments) as another.
-
-Results: null, empty and blank captions are not cut; residue is never cut; a repeated row
-counts as one image; a null source is a group of its own in the report; ids null: left out.
+Every token trigram (words, marks and sentence breaks; numbers are one token, tags of
+instruments another) is counted over all captions: how often it stands somewhere, how often a
+text, or a sentence with its mark, ends with it. The final trigram of each text is joined with
+these counts; one that is frequent inside but almost never last marks a cut. The share of ends
+is smoothed, not switched: a trigram backs off to its pair and its last token, each weighing as
+BACKOFF occurrences for the next longer one. A last word that may itself be cut short is asked a
+second time as "any word" after the two tokens before it; the smaller share decides.
+
+Labels end without a mark by nature. Where sentences that open with the same two tokens mostly
+do, the same trigram shares are taken among the unmarked sentences of that opening. Openings
+decide only ties: an unmarked text with a share between SHARE and TIE is cut if sentences of its
+opening mostly end in a mark. The trace of a cut transfer (an unfinished tag, entity or escape, an
+ellipsis) is taken off first, and the trigram before it decides.
+
+Copies of a text inside a document count once. Nothing but shares decides, so more rows of the
+same kind change nothing.
+
+Results: null, empty and blank captions are not cut; residue (problem 2) is taken out by a join in
+found() and report(); a repeated row counts as one image; a null source is a group of its own
+in the report; ids null: left out. A caption cut exactly behind a whole sentence is not found.
 """
 
 from __future__ import annotations
@@ -24,104 +29,83 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docstrata.llm.residue import flagged
 from docstrata.runtime import checkpoint
 
-INNER_MIN = 5
-TERMINAL_SHARE = 0.04
-OPENING_MIN = 5
-OPENING_SHARE = 0.5
-#: Ends that may have gone unseen: with so many more, a share is its upper bound at 95 %.
-UNSEEN = 3
-
-MARK = r"(<[/!]?\w{0,12}|&#?\w{1,8}|\\(u[0-9a-fA-F]{0,4}|x[0-9a-fA-F]{0,2})?|\[[.…]{0,3}|\.\.\.|…|�)$"
-DONE = r"[.!?…][\"”’)\]\s]*$"
-
-TEXTS = """
-SELECT id, caption_source, regexp_replace(trim(regexp_replace(caption, r'\\s+', ' ')), r'^([*"] ?|<p>)|( ?[*]|</p>)$|(?<=[.”)])"$', '') AS text
-FROM {captions} WHERE NOT residue AND caption IS NOT NULL
+#: A final trigram with a smaller share of ends is a cut; up to TIE the opening decides.
+SHARE, TIE = 0.04, 0.5
+#: So many occurrences weighs what is known of the next shorter gram, and the share without any knowledge.
+BACKOFF, PRIOR = 4.0, 0.05
+#: The share of a single token needs more of them: with none among so many an end is still likely.
+SINGLE = 25.0
+#: Occurrences from which a last word is known as a whole one, and an opening as an opening.
+KNOWN, OPENING_MIN = 4, 5
+#: Final keys of more than one in HOT rows are joined by broadcast: at most HOT * SLOTS rows.
+HOT = 1000
+
+TRACE = r"(<[/!]?\w{0,12}|&#?\w{1,8}|\\(u[0-9a-fA-F]{0,4}|x[0-9a-fA-F]{0,2})?|\[[.…]{0,3}|[.]{2,}|…|�)$"
+DONE = r'[.!?]["“”’)\]\s]*$'
+TOKEN = r"\p{L}[\p{L}\p{N}\x27’-]*|0|[^\s\p{L}\p{N}\"“’]"
+
+#: Texts without decoration and trace, and their tokens; '¶' stands where a sentence begins.
+TEXTS = r"""
+SELECT DISTINCT id, document_id, caption_source, caption, trim(regexp_replace(regexp_replace(trim(regexp_replace(caption, r'\s+', ' ')), r'^([*"] ?|<p>)|( ?[*]|</p>)$|(?<=[.”)])"$', ''), r'{trace}', '')) AS text
+FROM {captions} WHERE id IS NOT NULL AND length(trim(caption)) > 0
 """
-TOKENS = """
-SELECT *, size(words) AS n, xxhash64(element_at(words, -1)) AS k1,
-       IF(size(words) > 1, xxhash64(element_at(words, -2), element_at(words, -1)), NULL) AS k2,
-       IF(size(words) > 2, xxhash64(element_at(words, -3), element_at(words, -2), element_at(words, -1)), NULL) AS k3, element_at(segments, -1) AS closing,
-       text RLIKE r'{done}' AND NOT text RLIKE r' [\\d.,]*\\d\\.$' AND NOT text RLIKE r'{mark}' AS done,
-       text RLIKE r' [\\d.,]*\\d\\.$' AS number_end, text RLIKE r'{mark}' AS mark,
-       regexp_extract(lower(text), r'([\\p{L}-]+)$', 1) AS tail
-FROM (
-  SELECT id, caption_source, text, transform(split(norm, r'(?<=[.!?]["”’)]?)\\s+(?=[\\p{Lu}“"])'), s -> lower(s)) AS segments,
-         filter(split(lower(norm), r'[^\\p{L}\\p{N}-]+'), w -> w <> '') AS words
-  FROM (SELECT *, regexp_replace(regexp_replace(text, r'(?<!\\p{L})\\p{L}++-\\d+([.,]\\d+)*', 'Tag0'), r'\\d+([.,]\\d+)*', '0') AS norm FROM {texts} WHERE text <> '')
+TOKENS = r"""
+SELECT *, size(words) AS n, coalesce(nullif(size(words) + 1 - array_position(reverse(words), '¶'), size(words) + 1), 0) AS s FROM (
+  SELECT id, caption_source, xxhash64(document_id, text) AS copy, text RLIKE r'{done}' AND NOT text RLIKE r' [\d.,]*\d\.$' AS done,
+    regexp_extract_all(lower(regexp_replace(regexp_replace(regexp_replace(text, r'(?<=[.!?]["”’)]?)\s+(?=[\p{Lu}“"])', ' ¶ '), r'(?<!\p{L})\p{L}++-\d+([.,]\d+)*', 'tag'), r'\d+([.,]\d*)*', '0')), r'{token}', 0) AS words
+  FROM {texts} WHERE text <> ''
 ) WHERE size(words) > 0
 """
-#: Every gram of one to three words: how often a text goes on after it, how often it ends with it.
-GRAMS = """
-SELECT key, sum(n) AS n FROM (
-  SELECT explode(concat(
-    transform(words, w -> xxhash64(w)),
-    IF(n < 2, array(), transform(sequence(1, n - 1), i -> xxhash64(words[i - 1], words[i]))),
-    IF(n < 3, array(), transform(sequence(1, n - 2), i -> xxhash64(words[i - 1], words[i], words[i + 1]))))) AS key, 1L AS n
-  FROM {tokens}
-) GROUP BY key
-"""
-#: How often a text ends with a gram; the other times it goes on.
-CLOSING = """
-SELECT key, count(*) AS closing FROM (SELECT explode(array(k1, k2, k3)) AS key FROM {tokens}) WHERE key IS NOT NULL GROUP BY key
-"""
-#: How sentences that open alike end: by their first two words and by the first.
-OPENINGS = """
-SELECT key, count(*) AS n, sum(IF(ends, 1L, 0L)) AS ended FROM (
-  SELECT explode(array(xxhash64(2, slice(w, 1, 2)), xxhash64(1, slice(w, 1, 1)))) AS key, ends FROM (
-    SELECT split(s, ' ') AS w, s RLIKE r'[.!?…]["”’)\\]\\s]*$' AS ends FROM (SELECT explode(segments) AS s FROM {tokens})
-  )
-) GROUP BY key
+#: A word: its first letter is one (marks between U+2000 and U+2BFF are none).
+WORD = "(c >= 'a' AND c < '\\u007b' OR c >= 'À' AND c < '\u2000' OR c >= '\u2c00')"
+#: Trigrams, pairs and single tokens, and 'any word' after two tokens and one; o is the opening or 0.
+KEYS = f"""xxhash64(3, {{o}}, a, b, c), IF({WORD}, xxhash64(4, {{o}}, a, b), NULL), xxhash64(2, {{o}}, b, c), IF({WORD}, xxhash64(5, {{o}}, b), NULL), xxhash64(1, {{o}}, c)"""
+PLACES = """
+SELECT *, get(words, i - 2) AS a, get(words, i - 1) AS b, words[i] AS c,
+  i = n - 1 OR words[i + 1] = '¶' AS last,
+  IF(n - s > 1, xxhash64(6, words[s], words[s + 1]), NULL) AS o
+FROM (SELECT copy, done, words, n, s, {row} explode({places}) AS i FROM {tokens})
 """
-#: Every word of the labels (captions without an end mark that open as those without one do),
-#: by itself and by the opening: how often it stands in one, how often one ends with it.
-LABELS = """
-SELECT key, count(*) AS n, sum(IF(last, 1L, 0L)) AS closing FROM (
-  SELECT explode(array(k, xxhash64(p2, k))) AS key, last FROM (
-    SELECT p2, xxhash64(words[i]) AS k, i = size(words) - 1 AS last FROM (
-      SELECT p2, words, explode(sequence(0, size(words) - 1)) AS i FROM (
-        SELECT p2, filter(split(closing, r'[^\\p{L}\\p{N}-]+'), w -> w <> '') AS words
-        FROM {asked} t JOIN {often} o ON o.key = t.p2 WHERE NOT mark AND o.ended / o.n < {opening_share}
-      ) WHERE size(words) > 0
-    )
-  )
-) GROUP BY key
+#: How often every key stands in the texts, and how often a text or a sentence with its mark ends there.
+COUNTS = f"""
+SELECT key, count(*) AS n, count_if(last) AS t FROM (
+  SELECT explode(concat(
+    array({KEYS.format(o="0")}),
+    IF(NOT done AND o IS NOT NULL AND i >= s, array({KEYS.format(o="o")}, xxhash64(0, o)), array()),
+    IF(i < n - 1 AND (i = 0 OR b = '¶'), array(xxhash64(6, c, words[i + 1]), IF(NOT done AND i = s, xxhash64(7, xxhash64(6, c, words[i + 1])), NULL)), array()))) AS key, last
+  FROM {{places}}
+) WHERE key IS NOT NULL GROUP BY key
 """
-#: Frequent words by each of their beginnings.
-BEGINNINGS = """
-SELECT DISTINCT left(w, k) AS beginning FROM (
-  SELECT w, explode(sequence(1, length(w) - 1)) AS k FROM (
-    SELECT w FROM (SELECT explode(words) AS w FROM {tokens}) WHERE length(w) BETWEEN 3 AND 40 AND w RLIKE r'\\p{L}' GROUP BY w HAVING count(*) >= {least}
-  )
+SLOTS = ["u3", "uf3", "u2", "uf2", "u1", "l3", "lf3", "l2", "lf2", "l1", "l0", "op", "unmarked"]
+#: The keys of the last place of each text.
+FINAL = f"""
+SELECT row_id, id, caption_source, done, word, posexplode(keys) AS (slot, key) FROM (
+  SELECT row_id, id, caption_source, done, {WORD} AS word, concat(array({KEYS.format(o="0")}),
+    IF(NOT done AND o IS NOT NULL, array({KEYS.format(o="o")}, xxhash64(0, o), o, xxhash64(7, o)), array())) AS keys FROM {{places}}
 )
 """
-DECIDED = """
-SELECT id, caption_source, text,
-  mark
-  OR (NOT number_end AND IF(o2.n IS NOT NULL, o2.ended / o2.n, IF(coalesce(g2.closing, 0) >= {least} AND g2.closing > g2.inside, 0, coalesce(o1.ended / o1.n, 0))) >= {opening_share})
-  OR ((coalesce(o2.ended / o2.n, 1) >= {opening_share}
-       OR l2.closing - 1 <= {share} * (l2.n - 1)
-          AND (l2.closing - 1 + {unseen} <= {share} * (l2.n - 1) OR l1.closing - 1 + {unseen} <= {share} * (l1.n - 1)))
-      AND coalesce(g1.closing, 0) <= {share} * (g1.inside + g1.closing) AND
-      IF(coalesce(g3.inside, 0) >= {least}, g3.closing <= {share} * (g3.inside + g3.closing),
-         coalesce(g2.inside, 0) >= {least} AND g2.closing <= {share} * (g2.inside + g2.closing)))
-  OR (NOT number_end AND parts > 1 AND closing_words <= 2)
-  OR (NOT number_end AND coalesce(g1.inside, 0) < {least} AND b.beginning IS NOT NULL)
-  AS cut
-FROM {asked} t
-LEFT JOIN {grams} g3 ON g3.key = t.k3 LEFT JOIN {grams} g2 ON g2.key = t.k2 LEFT JOIN {grams} g1 ON g1.key = t.k1
-LEFT JOIN {often} o2 ON o2.key = t.p2 LEFT JOIN {often} o1 ON o1.key = t.p1
-LEFT JOIN {labels} l2 ON l2.key = xxhash64(t.p2, t.k1) LEFT JOIN {labels} l1 ON l1.key = t.k1
-LEFT JOIN {beginnings} b ON b.beginning = t.tail
+LOOKED_UP = """
+SELECT row_id, {slots} FROM {{keys}} GROUP BY row_id
+""".format(slots=", ".join(f"max(IF(slot = {i}, n, NULL)) AS n_{s}, max(IF(slot = {i}, t, NULL)) AS t_{s}" for i, s in enumerate(SLOTS)))
+
+
+def _smoothed(set_: str, prior: str) -> str:
+    """Shares of ends without the text itself, for the last token as it is and as any word."""
+    share = lambda g, back, weight=BACKOFF: f"(greatest(t_{set_}{g} - 1, 0) + {weight} * ({back})) / (greatest(n_{set_}{g} - 1, 0) + {weight})"
+    own = share("3", share("2", share("1", prior, SINGLE)))
+    word = share("f3", share("f2", prior))
+    return f"CASE WHEN NOT word THEN {own} WHEN n_{set_}1 - 1 >= {KNOWN} THEN least({own}, {word}) ELSE {word} END"
+
+
+SHARES = f"""
+SELECT id, caption_source, done, n_u3 AS n, t_u3 AS t, unmarked_share, IF(unmarked_share > 0.5, {_smoothed("l", "t_l0 / n_l0")}, {_smoothed("u", str(PRIOR))}) AS end_share FROM (
+  SELECT *, IF(n_op >= {OPENING_MIN}, coalesce(n_unmarked, 0) / n_op, NULL) AS unmarked_share FROM {{rows}}
+)
 """
-ASKED = """
-SELECT id, caption_source, text, done, number_end, mark, tail, size(segments) AS parts, size(split(closing, ' ')) AS closing_words, closing,
-  k1, k2, k3,
-  IF(size(split(closing, ' ')) > 1, xxhash64(2, slice(split(closing, ' '), 1, 2)), NULL) AS p2, xxhash64(1, slice(split(closing, ' '), 1, 1)) AS p1
-FROM {tokens} WHERE NOT done
+DECIDED = f"""
+SELECT *, end_share <= {SHARE} OR (NOT done AND end_share < {TIE} AND coalesce(unmarked_share < 0.5, FALSE)) AS cut FROM {{shares}}
 """
 
 
@@ -141,29 +125,38 @@ def _sql(spark: SparkSession, query: str, **values) -> DataFrame:
     return out
 
 
-def decisions(images: DataFrame) -> DataFrame:
-    """id, caption_source, text, cut: the captions without an end mark; all others are whole."""
-    spark = images.sparkSession
-    captions = flagged(images).where(F.length(F.trim("caption")) > 0).dropDuplicates(["id", "caption"])
-    tokens = checkpoint(_sql(spark, TOKENS, texts=_sql(spark, TEXTS, captions=captions), done=DONE, mark=MARK))
-    asked = checkpoint(_sql(spark, ASKED, tokens=tokens))
-    keys = asked.select(F.explode(F.array("k1", "k2", "k3")).alias("key")).distinct()
-    closing = _sql(spark, CLOSING, tokens=tokens)
-    counted = _sql(spark, GRAMS, tokens=tokens).join(keys, "key", "left_semi").join(closing, "key", "left")
-    grams = checkpoint(counted.select("key", (F.col("n") - F.coalesce("closing", F.lit(0))).alias("inside"), F.coalesce("closing", F.lit(0)).alias("closing")))
-    often = checkpoint(_sql(spark, OPENINGS, tokens=tokens).where(F.col("n") >= OPENING_MIN))
-    labels = _sql(spark, LABELS, asked=asked, often=often, opening_share=OPENING_SHARE)
-    beginnings = _sql(spark, BEGINNINGS, tokens=tokens, least=INNER_MIN)
-    return _sql(spark, DECIDED, asked=asked, grams=grams, often=often, labels=labels, beginnings=beginnings, least=INNER_MIN, unseen=UNSEEN, share=TERMINAL_SHARE, opening_share=OPENING_SHARE)
-
-
-def found(images: DataFrame) -> DataFrame:
-    """image_id of cut captions."""
-    return decisions(images).where("cut").select(F.col("id").alias("image_id")).distinct()
-
-
-def report(images: DataFrame) -> DataFrame:
-    """caption_source, n_captions, n_cut, cut_share: per source, over captions with text."""
-    rows = flagged(images).where(F.length(F.trim("caption")) > 0).select("id", "caption_source", "caption").distinct()
-    cut = decisions(images).where("cut").select("id").distinct().withColumn("cut", F.lit(1))
-    return rows.join(cut, "id", "left").groupBy("caption_source").agg(F.count("*").alias("n_captions"), F.sum(F.coalesce("cut", F.lit(0))).alias("n_cut")).withColumn("cut_share", F.round(F.col("n_cut") / F.col("n_captions"), 6))
+def _looked_up(finals: DataFrame, counts: DataFrame) -> DataFrame:
+    """finals with the counts of their keys. A mark that ends most texts is one key of most rows:
+    keys of more than one in HOT rows go by broadcast, which HOT bounds, all others by shuffle."""
+    often = finals.groupBy("key").agg(F.count("*").alias("rows"))
+    total = finals.count()
+    hot = F.broadcast(often.where(F.col("rows") > F.lit(total / HOT)).join(counts, "key").select("key", F.col("n").alias("hot_n"), F.col("t").alias("hot_t")))
+    marked = finals.join(hot, "key", "left")
+    rest = marked.where(F.col("hot_n").isNull()).drop("hot_n", "hot_t").join(counts, "key", "left")
+    return marked.where(F.col("hot_n").isNotNull()).withColumnsRenamed({"hot_n": "n", "hot_t": "t"}).unionByName(rest)
+
+
+def decisions(captions: DataFrame) -> DataFrame:
+    """captions: id, document_id, caption_source, caption. id, caption_source, done (ends with a mark),
+    n and t (occurrences of the final trigram, and at ends), unmarked_share of the opening, end_share, cut."""
+    spark = captions.sparkSession
+    tokens = checkpoint(_sql(spark, TOKENS, texts=_sql(spark, TEXTS, captions=captions, trace=TRACE), done=DONE, token=TOKEN).withColumn("row_id", F.monotonically_increasing_id()))
+    once = tokens.groupBy("copy").agg(F.first(F.struct("done", "words", "n", "s")).alias("r")).select("copy", "r.*")
+    counts = checkpoint(_sql(spark, COUNTS, places=_sql(spark, PLACES, tokens=once, row="", places="sequence(0, n - 1)")))
+    places = _sql(spark, PLACES, tokens=tokens, row="row_id, id, caption_source,", places="array(n - 1)")
+    finals = checkpoint(_sql(spark, FINAL, places=places))
+    pivoted = _sql(spark, LOOKED_UP, keys=_looked_up(finals.select("row_id", "slot", "key"), counts))
+    rows = finals.where("slot = 0").select("row_id", "id", "caption_source", "done", "word").join(pivoted, "row_id")
+    return _sql(spark, DECIDED, shares=_sql(spark, SHARES, rows=rows))
+
+
+def found(captions: DataFrame, residue: DataFrame) -> DataFrame:
+    """image_id of cut captions that are not among those of residue (image_id)."""
+    return decisions(captions).where("cut").select(F.col("id").alias("image_id")).distinct().join(residue, "image_id", "left_anti")
+
+
+def report(captions: DataFrame, residue: DataFrame) -> DataFrame:
+    """caption_source, n_captions, n_cut, cut_share: per source, over captions with text that are no residue."""
+    each = decisions(captions).groupBy("id", "caption_source").agg(F.max(F.col("cut").cast("int")).alias("cut")).withColumnRenamed("id", "image_id")
+    kept = each.join(residue, "image_id", "left_anti")
+    return kept.groupBy("caption_source").agg(F.count("*").alias("n_captions"), F.sum("cut").alias("n_cut")).withColumn("cut_share", F.round(F.col("n_cut") / F.col("n_captions"), 6))
