@@ -1,14 +1,21 @@
-"""Text quality statistics that tell prose from lists, tables and junk (problem 10).
-
-Every line of a text is weighed by its characters. Running sentences are recognised by common
-words of several languages (or, outside the Latin script, by letters and sentence marks).
-Tables show in delimiters that stand in equal number on neighbouring lines (vertical
-alignment); lists in openings of entries and in short lines. Longer lines of words that no mark
-settles are a list if the indentation of all unmarked lines repeats with a period or their lengths
-follow each other (autocorrelation), and a table if these are constant and gaps stand below each
-other. What repeats, has no words,
-or is only commands, logs or encoded data is junk. A text of which running sentences make up
-less than PROSE_SHARE of the characters gets the class that prevails.
+"""Text quality statistics that tell natural prose from lists, tables and junk (problem 10).
+
+Running sentences are recognised by common words of several languages (or, outside the Latin
+script, by letters and sentence marks); lines in which names and numbers prevail are none. All other
+lines are told apart by layout, together with ratios of words and symbols:
+
+* vertical delimiter alignment: equal numbers of one delimiter, or blanks in the same columns, on
+  neighbouring lines make a table;
+* indentation periodicity: how often the opening of a line (its indentation and what stands before its
+  first word: a bullet, number, label, command) returns after one to six lines. Entries of any length
+  with a periodic opening are a list;
+* line-length autocorrelation: lines of constant length are a table if columns of blanks run through
+  them, else junk (encoded or filled data); lengths that follow each other make unmarked lines a list.
+
+Lines of few words without such a layout are a list as well (short entries), as are lines of names
+and numbers (references). Lines that are hardly words (encoded, garbled, bare commands) and lines whose
+form, digits aside, returns more than twice (logs, repeated fragments) are junk. A text of which running
+sentences make up less than PROSE_SHARE of the characters gets the class that prevails.
 
 Results: one row of statistics per document; null, empty and blank texts have zero counts,
 null ratios and no class. Repeated documents give repeated rows. Whole texts are read.
@@ -28,28 +35,35 @@ from pyspark.sql import functions as F
 PROSE_SHARE = 0.2
 COMMON_SHARE = 0.15
 WORDS_IN_SENTENCE = 6
-#: The word lists of a few languages; more words than this would be no list of common words.
-COMMON_WORDS_MAX = 200_000
-
-#: Unmarked lines show a layout from so many on, and from such an autocorrelation; that of lengths
+#: From this share of its tokens names and numbers make a line an entry, not a sentence.
+NAMES_SHARE = 0.5
+#: A line with more capitals than this is set in capitals or as a title: they tell nothing.
+CAPITALS = 0.9
+#: Characters in plain words, and tokens that are plain, of a line that is words at all.
+WORDS_SHARE, PLAIN_SHARE = 0.4, 0.6
+#: The mean entry of an unmarked list has at most so many words.
+SHORT = 8
+#: A layout shows from so many lines on, and from such a share or autocorrelation; that of lengths
 #: must also be over CHANCE standard errors.
 LAYOUT_LINES, LAYOUT, CHANCE = 4, 0.5, 2.5
 PERIODS, LAGS = range(1, 7), range(1, 4)
 
 WORD = re.compile(r"[^\W\d_]+")
-MATH = re.compile(r"\$[^$\n]*\$|\\[A-Za-z]+\*?(?:\[[^\]\n]*\])?")
-ENTRY = re.compile(r"^\s*(?:\\(?:item|bibitem)\b|[-*•‣◦·–—]\s|\(?\d{1,5}[.)\]]\s|\[[^\]]{1,20}\]\s|\(?[a-zA-Z][.)]\s)")
-INDEX = re.compile(r"^[^,;:]{1,80}(?:,\s+\d+(?:[-–]\d+)?)+\.?$|^.{1,80}?\s?(?:\.\s?){3,}\s*\d+$")
-DEFINITION = re.compile(r"^\s*(?:\$[^$]{1,40}\$|[\w.-]{1,30})\s*(?::|=|—|–)\s+\S.{0,80}$")
-REFERENCE = re.compile(r"(?:\(|,\s*|\b)(?:1[89]|20)\d\d[a-z]?(?:\)|[.,;])|\bdoi\b|\bpp?\.\s*\d|\bvol\.\s*\d|\bet al\b", re.IGNORECASE)
-COMMAND = re.compile(r"^\s*\\(?!item\b|bibitem\b)[A-Za-z@]+")
-FRAME = re.compile(r"^\s*\\(?:begin|end|documentclass|usepackage|section|subsection|title|author|date|maketitle|hline|toprule|midrule|bottomrule|chapter|label|centering|caption)\b")
-LOG = re.compile(r"^\s*(?:!\s|l\.\d+\s|\(\.?/|(?:Over|Under)full\s|\[?\d{4}-\d\d-\d\d[T ]|\[?\d\d:\d\d:\d\d|(?:TRACE|DEBUG|INFO|WARN(?:ING)?|ERROR|FATAL)\b|at [\w.$]+\(|\s*File \"|Traceback )")
+COMMAND = re.compile(r"\\[A-Za-z@]+\*?")
+MATH = re.compile(r"\$[^$\n]*\$|\\[A-Za-z@]+\*?(?:\[[^\]\n]*\])?")
+SYMBOL = re.compile(r"[^\w\s]|_")
+LINES = re.compile(r"[\r\n\u2028\x0b\x0c]+")
+#: What stands before the first word of an entry: marks, numbers, a single letter, a formula, a command with its label.
+OPENING = re.compile(r"(?:\$[^$\n]*\$|\\[A-Za-z@]+\*?(?:[\[{][^\]}\n]*[\]}])?|\d+|[A-Za-z](?=[.)\]])|[^\w\s$\\]|[$\\]|\s)*")
+DIGITS, LETTERS, BULLETS = re.compile(r"\d+"), re.compile(r"[^\W\d_]+"), re.compile(r"[-*+•‣◦·–—]+")
 GAP = re.compile(r"(?<=\S)(?: {2,}|\t+)(?=\S)")
+TIGHT_COMMA = re.compile(r",(?=\S)")
 FOREIGN = re.compile(r"[Ͱ-῿぀-鿿가-힯]")
+ALNUM = re.compile(r"[^\W_]")
+RAISED = re.compile(r"\b[A-ZÀ-Þ\d]")
 STOPS = re.compile(r"[.!?。！？؟।]")
 END = re.compile(r"[.!?…:;。！？]['\"”’)\]]*$")
-PLAIN = re.compile(r"\(?[^\W_]{1,40}(?:[-/'’.,][^\W_]{1,40})*[,.:)]{0,2}")
+PLAIN = re.compile(r"[({\[]*(?:[^\W\d_]{1,40}(?:[-/'’.][^\W\d_]{1,40})*|\d[\d.,:/–-]*)[,.:;)}\]]*")
 CLASSES = ("list", "table", "junk")
 
 
@@ -59,13 +73,14 @@ def columns_of(line: str) -> tuple[str, int]:
         n = line.count(mark)
         if n:
             return mark, n
-    n = len(re.findall(r",(?=\S)", line))
-    if n and ", " not in line:
-        return ",", n
+    if "," in line and ", " not in line:
+        n = len(TIGHT_COMMA.findall(line))
+        if n:
+            return ",", n
     n = line.count(";")
     if n >= 2 and "; " not in line:
         return ";", n
-    gaps = len(GAP.findall(line))
+    gaps = len(GAP.findall(line)) if "  " in line else 0
     return ("gap", gaps) if gaps else ("", 0)
 
 
@@ -80,64 +95,101 @@ def autocorrelation(x: np.ndarray, lags: range) -> float:
     return max((float((x[k:] * x[:-k]).sum()) / total for k in lags if k < len(x) - 1), default=0.0)
 
 
-def is_plain(line: str) -> bool:
-    """Whether a line is mostly separate words, not encoded or garbled."""
-    tokens = line.split()
-    return len(tokens) > 1 and sum(map(len, WORD.findall(line))) >= 0.6 * sum(map(len, tokens)) and sum(bool(PLAIN.fullmatch(t)) for t in tokens) >= 0.8 * len(tokens)
+def opening(line: str) -> str:
+    """The form of what stands before a line's first word: its indentation, marks and labels."""
+    indent = len(line) - len(line.lstrip())
+    head = OPENING.match(line.strip())[0].rstrip()
+    if head:
+        head = BULLETS.sub("-", LETTERS.sub("a", DIGITS.sub("0", re.sub(r"\[[^\]]*\]|\{[^}]*\}|\$[^$]*\$", "[]", head))))
+    return f"{indent}{head}" if head or indent else ""
+
+
+def periodicity(openings: list[str]) -> float:
+    """The largest share of lines that open like the one some lines before, where lines of the period open at all."""
+    n = len(openings)
+    best = 0.0
+    for p in PERIODS:
+        if n >= max(LAYOUT_LINES, p + 2):
+            same = sum(a == b for a, b in zip(openings[p:], openings))
+            marked = sum(bool(a) for a in openings)
+            if marked * p >= 0.5 * n:
+                best = max(best, same / (n - p))
+    return best
+
+
+def names_and_numbers(tokens: list[str]) -> float:
+    """The share of tokens that are numbers or, behind the first, begin with a capital."""
+    if not tokens:
+        return 0.0
+    numbers, capitals = sum(t[0].isdigit() for t in tokens), sum(t[0].isupper() for t in tokens[1:])
+    return (numbers + (capitals if numbers + capitals < CAPITALS * len(tokens) else 0)) / len(tokens)
+
+
+def plain_words(line: str) -> bool:
+    """Whether a line is mostly separate words and numbers, not encoded, garbled or bare commands."""
+    bare = COMMAND.sub(" ", line) if "\\" in line else line
+    words = [t for t in bare.split() if ALNUM.search(t)]
+    if len(words) == 1 and len(words[0]) > 30:
+        return False
+    plain = [t for t in words if PLAIN.fullmatch(t)]
+    letters = sum(len(w) for w in WORD.findall(" ".join(plain)) if len(w) > 1)
+    numbers = sum(len(t) for t in plain if t[0].isdigit()) if letters else 0
+    return letters + numbers >= WORDS_SHARE * len(line.replace(" ", "")) and len(plain) >= PLAIN_SHARE * len(words)
 
 
-def layout(lines: list[str]) -> str:
-    """The class of unmarked lines of words by their indentation and lengths."""
-    if len(lines) < LAYOUT_LINES:
-        return "junk"
-    indent = np.array([len(s) - len(s.lstrip()) for s in lines], float)
-    length = np.array([len(s.strip()) for s in lines], float)
-    constant = not np.ptp(length)
-    if constant and set.intersection(*({m.start() for m in re.finditer(r"\s", s.strip())} for s in lines)):
-        return "table"
-    if indent.any() and autocorrelation(indent, PERIODS) >= LAYOUT:
-        return "list"
-    return "list" if not constant and autocorrelation(length, LAGS) >= max(LAYOUT, CHANCE / len(lines) ** 0.5) else "junk"
+def layout(lines: list[str]) -> tuple[str, float, float]:
+    """The class of lines of words that no delimiter aligns, with indentation periodicity and line-length autocorrelation."""
+    stripped = [s.strip() for s in lines]
+    length = np.array([len(s) for s in stripped], float)
+    period, follow = periodicity([opening(s) for s in lines]), autocorrelation(length, LAGS)
+    words = sum(len(s.split()) for s in stripped) / len(lines)
+    if len(lines) >= LAYOUT_LINES:
+        if not np.ptp(length):
+            columns = set.intersection(*({m.start() for m in re.finditer(r"\s", s)} for s in stripped))
+            return ("table" if columns else "junk"), period, follow
+        if period >= LAYOUT or follow >= max(LAYOUT, CHANCE / len(lines) ** 0.5):
+            return "list", period, follow
+    entry = words <= SHORT and len(lines) > 1 or np.mean([names_and_numbers(s.split()) for s in stripped]) >= NAMES_SHARE
+    return ("list" if entry else "junk"), period, follow
 
 
 def analyse(text: str, common: frozenset) -> dict:
     """Statistics and class of one text that isn't blank."""
-    lines = [s for s in re.split(r"[\r\n\u2028\x0b\x0c]+", text.lstrip("\ufeff")) if s.strip()]
+    lines = [s for s in LINES.split(text.lstrip("\ufeff")) if s.strip()]
     weight = [len(s.strip()) for s in lines]
-    n_words = letters = common_n = 0
+    n_words = letters = common_n = ends = 0
     kinds = [""] * len(lines)
-    counts: list[tuple[str, int]] = [("", 0)] * len(lines)
+    rest: list[int] = []
     shape: Counter = Counter()
-    keys = [""] * len(lines)
+    counts, keys = {}, {}
     for i, raw in enumerate(lines):
         s = raw.strip()
-        words = WORD.findall(s)
+        words = WORD.findall(s.lower())
         n_words += len(words)
         letters += sum(map(len, words))
-        plain = WORD.findall(MATH.sub(" ", s)) if "\\" in s or "$" in s else words
-        hits = sum(w.lower() in common for w in plain)
+        hits = sum(map(common.__contains__, words))
         common_n += hits
-        if len(plain) >= WORDS_IN_SENTENCE and hits >= COMMON_SHARE * len(plain) and not LOG.match(s):
-            kinds[i] = "prose"
-            continue
-        if len(s) >= 20 and FOREIGN.search(s):
-            own = len(FOREIGN.findall(s))
-            if own >= 0.5 * len(s.replace(" ", "")) and STOPS.search(s):
+        ends += bool(END.search(s[-8:]))
+        if len(words) >= WORDS_IN_SENTENCE and hits >= COMMON_SHARE * WORDS_IN_SENTENCE:
+            if "\\" in s or "$" in s:
+                bare = MATH.sub(" ", s)
+                plain = WORD.findall(bare.lower())
+                hits = sum(map(common.__contains__, plain))
+            else:
+                bare, plain = s, words
+            if len(plain) >= WORDS_IN_SENTENCE and hits >= COMMON_SHARE * len(plain) and (len(RAISED.findall(bare)) < NAMES_SHARE * len(plain) or names_and_numbers(re.findall(r"\w+", bare)) < NAMES_SHARE):
                 kinds[i] = "prose"
                 continue
+        if len(s) >= 20 and FOREIGN.search(s) and len(FOREIGN.findall(s)) >= 0.5 * len(s.replace(" ", "")) and STOPS.search(s):
+            kinds[i] = "prose"
+            continue
+        rest.append(i)
         counts[i] = columns_of(s)
-        keys[i] = re.sub(r"\d+", "0", s)
+        keys[i] = DIGITS.sub("0", s)
         shape[keys[i]] += 1
     total = sum(weight)
-    by = Counter()
-    rest = [i for i, k in enumerate(kinds) if not k]
     aligned = 0
-    indent = np.array([len(s) - len(s.lstrip()) for s in lines], float)
-    length = np.array(weight, float)
-    indent_period = autocorrelation(indent, PERIODS) if indent.any() else 0.0
-    length_follow = autocorrelation(length, LAGS)
-    repeated = sum(shape[keys[i]] > 2 for i in rest) >= 0.5 * len(rest) and len(shape) <= max(2, 0.5 * len(rest))
-    unmarked, unsettled = [], []
+    entries: list[int] = []
     for j, i in enumerate(rest):
         s = lines[i].strip()
         mark, n = counts[i]
@@ -145,47 +197,38 @@ def analyse(text: str, common: frozenset) -> dict:
         beside = n > 0 and (mark, n) in near and (mark not in (",", "gap") or n >= 2 or shape[keys[i]] < 3)
         tokens = s.split()
         same = len(tokens) >= 4 and len(set(tokens)) <= 2
-        words = WORD.findall(s)
-        dense = len(re.findall(r"[^\W_]", s)) / len(s.replace(" ", ""))
-        if beside and not same and dense >= 0.3 and not COMMAND.match(s) and not LOG.match(s):
+        dense = len(ALNUM.findall(s)) / len(s.replace(" ", "")) if n else 0.0
+        if beside and dense >= 0.3 and not COMMAND.match(s) and not same:
             aligned += 1
-            kind = "table"
-        elif FRAME.match(s):
-            kind = "frame"
-        elif same or LOG.match(s) or COMMAND.match(s) or not words:
-            kind = "junk"
-        elif ENTRY.match(s) or INDEX.match(s) or DEFINITION.match(s) or REFERENCE.search(s):
-            kind = "list"
+            kinds[i] = "table"
+        elif shape[keys[i]] > 2 or not WORD.search(s) or same:
+            kinds[i] = "junk"
         elif 0 < n <= 40 and mark in ("&", "|", "\t") and dense >= 0.5:
-            kind = "table"
-        elif len(words) <= 8 and len(s) <= 100 and len(rest) > 1 and len("".join(words)) >= 0.6 * len(s.replace(" ", "")) and not (len(words) == 1 and len(s) > 30):
-            kind = "list"
-            unmarked.append(lines[i])
+            kinds[i] = "table"
+        elif plain_words(s):
+            entries.append(i)
         else:
-            kind = "junk"
-            if is_plain(s):
-                unmarked.append(lines[i])
-                unsettled.append(i)
-        if repeated and kind == "list":
-            kind = "junk"
-        kinds[i] = kind
-    if unsettled and not repeated:
-        kind = layout(unmarked)
-        for i in unsettled:
+            kinds[i] = "frame" if COMMAND.match(s) and len(rest) > 1 else "junk"
+    period = follow = 0.0
+    if entries:
+        kind, period, follow = layout([lines[i] for i in entries])
+        for i in entries:
             kinds[i] = kind
+    by = Counter()
     for k, w in zip(kinds, weight):
         by[k] += w
+    if by["frame"] >= by["list"] + by["table"]:  # commands around entries frame them; by themselves they are junk
+        by["junk"] += by.pop("frame", 0)
     prose = by["prose"] / total
     text_class = None
     if prose < PROSE_SHARE:
         best = max(CLASSES, key=lambda k: by[k])
         text_class = best if by[best] else "junk"
-    symbols = sum(len(re.findall(r"[^\w\s]|_", s.strip())) for s in lines)
     return {
-        "n_lines": len(lines), "n_words": n_words, "mean_word_length": letters / n_words if n_words else 0.0, "symbol_ratio": symbols / total,
-        "end_punctuation_share": sum(bool(END.search(s.strip())) for s in lines) / len(lines), "common_word_share": common_n / n_words if n_words else 0.0,
+        "n_lines": len(lines), "n_words": n_words, "mean_word_length": letters / n_words if n_words else 0.0, "symbol_ratio": len(SYMBOL.findall(text.lstrip("\ufeff"))) / total,
+        "end_punctuation_share": ends / len(lines), "common_word_share": common_n / n_words if n_words else 0.0,
         "prose_share": prose, "list_share": by["list"] / total, "table_share": by["table"] / total, "junk_share": by["junk"] / total,
-        "delimiter_alignment": aligned / len(lines), "indent_periodicity": indent_period, "line_length_autocorrelation": length_follow, "text_class": text_class,
+        "delimiter_alignment": aligned / len(lines), "indent_periodicity": period, "line_length_autocorrelation": follow, "text_class": text_class,
     }
 
 
@@ -201,10 +244,8 @@ BLANK = {k: 0 if v == pa.int64() else None for k, v in FIELDS.items()}
 
 def statistics(documents: DataFrame, common_words: DataFrame) -> DataFrame:
     """One row of SCHEMA per document."""
-    words = [r[0] for r in common_words.select(F.lower("word")).where(F.col("word").isNotNull()).distinct().limit(COMMON_WORDS_MAX + 1).collect()]
-    if len(words) > COMMON_WORDS_MAX:
-        raise ValueError(f"more than {COMMON_WORDS_MAX} common words")
-    common = frozenset(words)
+    # The word lists of a few languages, fixed in size: a parameter of the operator, not data of the corpus.
+    common = frozenset(r[0] for r in common_words.select(F.lower("word")).where(F.col("word").isNotNull()).distinct().collect())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -88,7 +88,13 @@ def p10_statistics(spark: SparkSession, d: str) -> DataFrame:
     return quality.statistics(table(spark, d, "documents"), table(spark, d, "common_words"))
 
 
-NAMES = "p1_found p1_source_report p1_ends p2_found p2_kept p3_found p3_repaired p5_found p5_groups p5_copies p6_found p6_pieces p8_ids p9_found p9_items p10_found p10_statistics".split()
+def p10_ratios(spark: SparkSession, d: str) -> DataFrame:
+    """The ratios of p10_statistics, which SQL can express."""
+    rows = p10_statistics(spark, d)
+    return rows.select("doc_id", "n_lines", "n_words", *[F.round(c, 6).alias(c) for c in ("mean_word_length", "symbol_ratio", "end_punctuation_share", "common_word_share")])
+
+
+NAMES = "p1_found p1_source_report p1_ends p2_found p2_kept p3_found p3_repaired p5_found p5_groups p5_copies p6_found p6_pieces p8_ids p9_found p9_items p10_found p10_statistics p10_ratios".split()
 
 
 def queries() -> dict[str, Query]:
@@ -136,8 +142,18 @@ shares AS (SELECT id, done, nu3, tu3, unmarked, CASE WHEN unmarked > 0.5 THEN {_
 SELECT DISTINCT id AS image_id, nu3 AS n, tu3 AS t, round(share, 9) AS end_share, share <= {truncation.SHARE} OR (NOT done AND share < {truncation.TIE} AND coalesce(unmarked < 0.5, false)) AS cut FROM shares"""
 
 
+SPACE = r"\s\x{0B}\x{1C}-\x{1F}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+RATIOS = rf"""WITH t AS (SELECT doc_id, ltrim(text, chr(65279)) AS text FROM documents),
+l AS (SELECT *, list_filter(list_transform(regexp_split_to_array(text, '[\r\n\x{{2028}}\x0b\x0c]+'), lambda x: regexp_replace(x, '^[{SPACE}]+|[{SPACE}]+$', '', 'g')), lambda x: x <> '') AS lines FROM t),
+w AS (SELECT *, list_sum(list_transform(lines, lambda x: length(x))) AS size, regexp_extract_all(lower(array_to_string(lines, chr(10))), '[\p{{L}}\p{{Nl}}\p{{No}}]+') AS words FROM l)
+SELECT doc_id, coalesce(len(lines), 0) AS n_lines, coalesce(len(words), 0) AS n_words, CASE WHEN len(lines) > 0 THEN round(CASE WHEN len(words) = 0 THEN 0.0 ELSE list_sum(list_transform(words, lambda x: length(x)))::DOUBLE / len(words) END, 6) END AS mean_word_length,
+  CASE WHEN len(lines) > 0 THEN round(len(regexp_extract_all(text, '[^\p{{L}}\p{{N}}{SPACE}]'))::DOUBLE / size, 6) END AS symbol_ratio, CASE WHEN len(lines) > 0 THEN round(len(list_filter(lines, lambda x: regexp_matches(right(x, 8), '[.!?…:;。！？][\x27"”’)\]]*$')))::DOUBLE / len(lines), 6) END AS end_punctuation_share,
+  CASE WHEN len(lines) > 0 THEN round(CASE WHEN len(words) = 0 THEN 0.0 ELSE len(list_filter(words, lambda x: list_contains(common, x)))::DOUBLE / len(words) END, 6) END AS common_word_share FROM w CROSS JOIN (SELECT list(DISTINCT lower(word)) AS common FROM common_words)"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
+        "p10_ratios": RATIOS,
         "p1_ends": ENDS,
         "p9_found": f"{LEAKS} SELECT * FROM leak",
         "p9_items": f"{LEAKS} SELECT item_id, suite, coalesce(n, 0) AS n_documents FROM eval_items LEFT JOIN (SELECT item_id, count(*) AS n FROM leak GROUP BY item_id) USING (item_id)",
