@@ -151,8 +151,22 @@ SELECT doc_id, coalesce(len(lines), 0) AS n_lines, coalesce(len(words), 0) AS n_
   CASE WHEN len(lines) > 0 THEN round(CASE WHEN len(words) = 0 THEN 0.0 ELSE len(list_filter(words, lambda x: list_contains(common, x)))::DOUBLE / len(words) END, 6) END AS common_word_share FROM w CROSS JOIN (SELECT list(DISTINCT lower(word)) AS common FROM common_words)"""
 
 
+#: All pairs that share a sequence, and all pairs of hashes: for small tables.
+PAIRS = rf"""WITH e AS (SELECT DISTINCT id, regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}]+') AS w FROM canonical_elements WHERE id IS NOT NULL AND text IS NOT NULL),
+k AS (SELECT id, array_to_string(w, ' ') AS k, w FROM e WHERE len(w) >= {neardup.MIN_WORDS}),
+c AS (SELECT k, any_value(w) AS w FROM k GROUP BY k),
+g AS (SELECT DISTINCT k, w[i:i + 2] AS g FROM (SELECT k, w, unnest(range(1, len(w) - 1)) AS i FROM c)),
+n AS (SELECT k, count(*) AS n FROM g GROUP BY k),
+b AS (SELECT x.k AS a, y.k AS b, count(*) AS shared FROM g x JOIN g y ON x.g = y.g AND x.k < y.k GROUP BY x.k, y.k),
+l AS (SELECT a, b FROM b JOIN n x ON x.k = a JOIN n y ON y.k = b WHERE shared >= {neardup.SIMILARITY} * (x.n + y.n - shared) UNION ALL SELECT k, k FROM c),
+h AS (SELECT h, [('0x' || substring(h, 16 * i + 1, 16))::UBIGINT FOR i IN range(4)] AS p FROM (SELECT DISTINCT lower(image_hash) AS h FROM image_assets) WHERE regexp_full_match(h, '[0-9a-f]{{64}}'))
+SELECT DISTINCT 'element' AS record_kind, least(x.id, y.id) AS left_key, greatest(x.id, y.id) AS right_key FROM l JOIN k x ON x.k = l.a JOIN k y ON y.k = l.b WHERE x.id <> y.id
+UNION ALL SELECT 'image', x.h, y.h FROM h x JOIN h y ON x.h < y.h WHERE bit_count(xor(x.p[1], y.p[1]))::INT + bit_count(xor(x.p[2], y.p[2]))::INT + bit_count(xor(x.p[3], y.p[3]))::INT + bit_count(xor(x.p[4], y.p[4]))::INT <= {neardup.RADIUS}"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
+        "p5_found": PAIRS,
         "p10_ratios": RATIOS,
         "p1_ends": ENDS,
         "p9_found": f"{LEAKS} SELECT * FROM leak",
