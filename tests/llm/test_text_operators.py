@@ -15,13 +15,13 @@ from docstrata.llm.components import components
 from docstrata.runtime import table
 from tests.oracle import same
 
-IMAGE = "id string, caption_source string, caption string, ocr_text string, image_hash string, loaded_at timestamp, residue string, text string, h string, n string"
+IMAGE = "id string, document_id string, caption_source string, caption string, ocr_text string, image_hash string, loaded_at timestamp, residue string, text string, h string, n string"
 ELEMENT = "id string, document_id string, type string, text string, reading_order int, heading_level int, loaded_at timestamp, provenance array<struct<page:int,source:string>>, h string, block string, section_id string, size string"
 DOC = "doc_id bigint, text string, ids string, item_id string, n_words string"
 
 
 def image(i, caption, source="s", ocr=None, h=None):
-    return (i, source, caption, ocr, h, None, "x", "x", "x", "x")
+    return (i, "d", source, caption, ocr, h, None, "x", "x", "x", "x")
 
 
 def element(i, text, kind="paragraph", order=0, level=None, doc="d", source="ocr"):
@@ -58,8 +58,8 @@ def test_truncation(spark):
     rows += [image(f"cut{i}", c) for i, c in enumerate(cut)] + [image("cut0", cut[0])]
     rows += [image("null", None), image("empty", ""), image("blank", "  "), image(None, cut[0]), image("residue", "Access denied. Reference #12")]
     df = spark.createDataFrame(rows, IMAGE)
-    assert {r.image_id for r in truncation.found(df).collect()} == {f"cut{i}" for i in range(len(cut))}
-    report = truncation.report(df).collect()
+    assert {r.image_id for r in truncation.found(df, residue.found(df)).collect()} == {f"cut{i}" for i in range(len(cut))}
+    report = truncation.report(df, residue.found(df)).collect()
     assert [r.n_cut for r in report] == [len(cut)]
 
 
@@ -74,7 +74,8 @@ def test_truncation_of_frequent_labels(spark):
         rows.append(image(f"plate{i}", f"Nameplate of the {a}"))
     cut = ["Parts list for the pump: panel, channel and the", "Parts list for the", "Nameplate of the"]
     rows += [image(f"cut{i}", c) for i, c in enumerate(cut)] + [image("cut0", cut[0])]
-    assert {r.image_id for r in truncation.found(spark.createDataFrame(rows, IMAGE)).collect()} == {f"cut{i}" for i in range(len(cut))}
+    df = spark.createDataFrame(rows, IMAGE)
+    assert {r.image_id for r in truncation.found(df, residue.found(df)).collect()} == {f"cut{i}" for i in range(len(cut))}
 
 
 # ---- problem 2
@@ -348,14 +349,36 @@ def test_encoding_equals_the_public_library(spark, sf, ranks):
 
 
 def test_transducer(ranks, tmp_path):
-    entries = sorted(ranks.items())
+    entries = [(w, [i, 7] if i % 3 else [i]) for w, i in sorted(ranks.items()) if len(w) <= tokenize.LEXICON_BYTES]
     arrays = tokenize.build_transducer(entries)
-    tokenize.Lexicon.write(arrays, str(tmp_path / "x"))
+    tokenize.Lexicon.write(arrays, ranks, str(tmp_path / "x"))
     lex = tokenize.Lexicon(str(tmp_path / "x"))
-    assert all(lex.get(w) == i for w, i in entries[::7]) and lex.get(b"qzqzqzqz") == -1 and lex.get(b"") == -1
+    words = [w for w, _ in entries[::7]] + [b"qzqzqzqz", b"", b"x" * 500]
+    size = np.array([len(w) for w in words])
+    rank = lex.find(np.frombuffer(b"".join(words), np.uint8), np.cumsum(size) - size, size)
+    assert [lex.ids[lex.seq[r] : lex.seq[r + 1]].tolist() for r in rank[:-3]] == [ids for _, ids in entries[::7]] and (rank[-3:] == -1).all()
+    assert lex.ranks == ranks
     assert len(arrays["final"]) < sum(len(w) for w, _ in entries) / 3
 
 
+@pytest.mark.parametrize("words", [0, 1, 50])
+def test_the_lexicon_changes_no_ids(spark, sf, ranks, words):
+    docs = table(spark, sf, "documents")
+    few = {r.doc_id: r.ids for r in tokenize.encode(docs, lexicon_words=words).collect()}
+    assert few == {r.doc_id: r.ids for r in tokenize.encode(docs).collect()}
+
+
+def test_most_words_are_served_by_the_automaton(spark, sf, ranks, tmp_path):
+    docs = table(spark, sf, "documents")
+    entries = tokenize.frequent_words(docs, tokenize.ship(spark, [], ranks), tokenize.LEXICON_WORDS)
+    tokenize.Lexicon.write(tokenize.build_transducer(entries), ranks, str(tmp_path / "x"))
+    lex = tokenize.Lexicon(str(tmp_path / "x"))
+    asked = []
+    lex.merged = lambda w: asked.append(w) or [0]
+    ids, n = tokenize.encode_batch(pa.array([r.text for r in docs.collect()]), lex)
+    assert len(asked) < 0.05 * n.sum()
+
+
 # ---- problem 9
 
 
