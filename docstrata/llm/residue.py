@@ -1,9 +1,11 @@
 """Template residue, filler and error-page text (problem 2).
 
-One Aho-Corasick automaton holds all multilingual phrases of error pages, refusals, filler and
-script notices, and the openings of placeholders. It passes each text once; what it meets is
+One Aho-Corasick automaton holds multilingual phrases of error pages, refusals, filler and
+script notices, the parts (notices.py) that such sentences are put together from in any language, and
+the openings of placeholders. It passes each text once; what it meets is
 weighed against the sentence it stands in: the text is excluded when matched phrases cover at
-least COVERAGE of a sentence, or of the whole text. Words inside quotation marks are what a
+least COVERAGE of a sentence, or parts at least PARTS_COVERAGE of one that says what failed, asks for
+scripts, cookies or a sign-in, or asks for a text to be filled in. Words inside quotation marks are what a
 picture shows, and a sentence that merely names an error has low coverage, so descriptions of
 such things stay. A placeholder is never prose: where the automaton meets an opening, its syntax
 is confirmed in place, and any confirmed one excludes the text.
@@ -15,6 +17,7 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from functools import cache
 
@@ -22,7 +25,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from docstrata.llm import notices
+
 COVERAGE = 0.55
+PARTS_COVERAGE = 0.8
 
 #: Phrases of errors and refusals, lower case; '#' stands for a number.
 ERRORS = (
@@ -65,19 +71,22 @@ LATIN = frozenset(
 #: Markup elements that may stand in a text without being a placeholder.
 MARKUP = frozenset("a abbr b big blockquote body br center code dd div dl dt em font h1 h2 h3 h4 h5 h6 head hr html i img li link meta noscript ol p pre q s script small span strike strong style sub sup table tbody td th thead tr tt u ul var video".split())
 #: Function words allowed beside phrases without lowering their coverage.
-GLUE = frozenset("the a an to of for in on at is are was and or this that it you your our we please be been with from by before again der die das und zu um ist sie bitte le la les et pour de du est el los y para por se un una # - – —".split())
+GLUE = frozenset("the a an to of for in on at is are was and or this that it you your our we please be been with from by before again der die das und zu um ist sie bitte le la les et pour de du est el los y para por se un una # - – — must be has does no not os as ao aos do da dos das um uma ce cet cette des aux dans au sur avec del al lo los las con para su sus en il gli di della nel nei een het om door op van met voor in zum zur im am den dem ein eine eines des mit für och att är det ett i w na z jest się do o и в на с не был была было от bir ve".split())
 
 #: Placeholder syntax of any length; tried only where the automaton met its opening. What stands between the
 #: marks excludes them, so a match is over at the next one.
 SYNTAX = {
-    "{": re.compile(r"\{\{[^{}]+\}\}|\{%[^%{}]+%\}|\{[A-Za-z_][\w.]+\}"),
-    "$": re.compile(r"\$\{[^{}]+\}|\$\([A-Za-z_][\w.]*\)"),
-    "<": re.compile(r"<%=?[^%<>]+%>|<([A-Za-z_][\w.-]*)>|<no [a-z]+>", re.IGNORECASE),
-    "[": re.compile(r"\[\[[^\[\]]+\]\]|\[\s*insert\b[^\[\]]*\]|\[[^\[\]]+\bgoes here\s*\]|\[(?:your|add|enter)\b[^\[\]]+\]", re.IGNORECASE),
-    "%": re.compile(r"%%[A-Za-z_][\w.]*%%"),
-    "#": re.compile(r"#[A-Za-z_][\w.]*#"),
+    "{": re.compile(r"\{\{[^{}]+\}\}|\{%[^%{}]+%\}|\{[A-Za-z_][\w.]+\}|(?<![\w^})$])\{\d{0,2}\}(?![\w$])"),
+    "$": re.compile(r"\$\{[^{}]+\}|\$\([A-Za-z_][\w.]*\)|(?<![\w$])\$(?i:caption|title|description|legend|alt_?text|image_?text|fig(?:ure)?_?(?:caption|title))\b(?!\$)"),
+    "<": re.compile(r"<%=?[^%<>]+%>|<<[A-Za-z_][\w .-]*>>|<([A-Za-z_][\w.-]*)>|<no [a-z]+>", re.IGNORECASE),
+    "[": re.compile(r"\[\[[^\[\]]+\]\]|\[\s*insert\b[^\[\]]*\]|\[[^\[\]]+\bgoes here\s*\]|\[(?:your|add|enter)\b[^\[\]]+\]|\[[A-Z]+(?:[_ ][A-Z]+)*\](?!\()", re.IGNORECASE),
+    "%": re.compile(r"%%[A-Za-z_][\w.]*%%|%\([A-Za-z_]\w*\)[sdf]|(?<![\w%.,])%[sd](?!\w)|(?<![\w%])%[A-Z][A-Z_]{2,}%"),
+    "#": re.compile(r"#[A-Za-z_][\w.]*#|#\{[^{}]+\}"),
     "_": re.compile(r"__[A-Za-z][A-Za-z0-9_.]*?__"),
+    "@": re.compile(r"@@[A-Za-z_][\w.]*@@"),
 }
+#: A whole text that is the name of a variable.
+NAMED = re.compile(r"[$@:%&][a-z_][\w.-]{2,}[%:;]?")
 QUOTED = re.compile(r"“[^”]*”|„[^“”]*[“”]|«[^»]*»|‘[^’]*’")
 SENTENCE = re.compile(r"(?<=[.!?…])[\s\"')\]]+|[\[\]()\n|]+|(?<=\.)$")
 WORD = re.compile(r"[^\W_]+(?:['’./-][^\W_]+)*|#")
@@ -85,19 +94,44 @@ PREFIX = re.compile(r"^\s*(?:[*\"'>•-]+\s*)*(?:(?:figure|fig\.?|abb\.?|abbildu
 TAG = re.compile(r"</?(?:%s)\b[^<>]*>" % "|".join(sorted(MARKUP | {"title"})), re.IGNORECASE)
 
 
+#: Kinds of parts, as bits: a whole phrase, what failed, what to do, techniques, subjects, verbs and objects of filler.
+PHRASE, FAILURE, REQUEST, TECHNIQUE, SUBJECT, VERB, OBJECT = (1 << k for k in range(7))
+#: Scripts written without blanks, where parts need no ends of words.
+CLOSE = re.compile(r"[\u0e00-\u0eff\u3040-\u30ff\u3400-\u9fff\uac00-\ud7af]")
+
+
 @cache
 def automaton():
     import ahocorasick
 
+    kinds: dict[str, int] = {phrase: PHRASE for phrase in {*ERRORS, *SCRIPTS, *FILLER}}
+    for bit, table in ((FAILURE, notices.FAILURES), (REQUEST, notices.REQUESTS), (TECHNIQUE, notices.TECHNIQUES), (SUBJECT, notices.SUBJECTS), (VERB, notices.FILLER_VERBS), (OBJECT, notices.FILLER_OBJECTS)):
+        for part in notices.parts(table):
+            kinds[part] = kinds.get(part, 0) | bit
     a = ahocorasick.Automaton()
-    for phrase in {*ERRORS, *SCRIPTS, *FILLER}:
-        a.add_word(phrase, ("phrase", phrase))
+    for part, bits in kinds.items():
+        a.add_word(part.rstrip("*"), (part.rstrip("*"), bits, part.endswith("*")))
     for opening in SYNTAX:
-        a.add_word(opening, ("open", opening))
+        a.add_word(opening, (opening, 0, True))
     a.make_automaton()
     return a
 
 
+def is_notice(bits: list[int], weight: list[int]) -> bool:
+    """Whether the parts of a sentence (their kinds, and 0 for words that are none) make a notice or a request for a text."""
+    parts = [b & ~PHRASE for b in bits]
+    total = sum(weight)
+    if sum(w for b, w in zip(parts, weight) if b) < PARTS_COVERAGE * total:
+        return False
+    if sum(b > 0 for b in parts) < 2:  # one part that is a sentence by itself
+        return any(b & FAILURE and w >= 2 for b, w in zip(parts, weight))
+    has = lambda kind: any(b & kind for b in parts)
+    others = lambda kind: sum(bool(b) and not b & ~kind == 0 for b in parts)
+    if has(FAILURE) and others(FAILURE) or has(REQUEST) and has(TECHNIQUE):
+        return True
+    return has(VERB) and any(b & OBJECT and not b & VERB for b in parts) and sum(w for b, w in zip(parts, weight) if b & (VERB | OBJECT)) >= PARTS_COVERAGE * total
+
+
 def is_residue(caption: str | None) -> bool:
     if caption is None or not caption.strip():
         return False
@@ -107,18 +141,23 @@ def is_residue(caption: str | None) -> bool:
     body = PREFIX.sub("", masked).strip(" \t\r\n*\"'")
     low = re.sub(r"[\d][\d.,]*\d|\d", "#", body.lower().replace("’", "'"))
     covered = bytearray(len(low))
-    for end, (kind, what) in automaton().iter(low):
+    found: list[tuple[int, int, int]] = []
+    for end, (what, bits, free) in automaton().iter(low):
         first = end - len(what) + 1
-        if kind == "phrase":
-            before, after = low[first - 1 : first], low[end + 1 : end + 2]
-            if not (what[0].isalnum() and before.isalnum()) and not (what[-1].isalnum() and after.isalnum()):
-                covered[first : end + 1] = b"\1" * len(what)
+        if bits:
+            before, after = low[first - 1 : first] if first else "", low[end + 1 : end + 2]
+            joined = [x.isalnum() and not CLOSE.match(x) for x in (before or " ", after or " ")]
+            if CLOSE.match(what) or not (what[0].isalnum() and joined[0]) and (free or not (what[-1].isalnum() and joined[1])):
+                if bits & PHRASE:
+                    covered[first : end + 1] = b"\1" * len(what)
+                if bits & ~PHRASE and what not in GLUE:
+                    found.append((first, end + 1, bits & ~PHRASE))
     if any(c in masked for c in SYNTAX):
-        for what in {what for _, (kind, what) in automaton().iter(masked) if kind == "open"}:
+        for what in {what for _, (what, bits, _) in automaton().iter(masked) if not bits}:
             if any((m[0][0] != "<" or not m.groups() or not m[1] or m[1].lower() not in MARKUP) for m in SYNTAX[what].finditer(masked)):
                 return True
     plain = re.sub(r"\s+", " ", low).strip(" .:;,!?")
-    if plain in EMPTY_VALUES:
+    if plain in EMPTY_VALUES or NAMED.fullmatch(plain):
         return True
     tokens = WORD.findall(plain)
     if not tokens:
@@ -127,6 +166,8 @@ def is_residue(caption: str | None) -> bool:
         return True
     if plain[:1] in "{[" and covered.count(1) >= 4:  # a bare answer of a service
         return True
+    found.sort()
+    firsts = [f[0] for f in found]
     at = 0
     for cut in [*SENTENCE.finditer(low), None]:
         stop = cut.start() if cut else len(low)
@@ -142,9 +183,40 @@ def is_residue(caption: str | None) -> bool:
         matched = sum(h and w != "#" for h, (_, _, w) in zip(hit, words))
         if matched and matched >= COVERAGE * (matched + weight) and (matched >= 2 or len(words) <= 2):
             return True
+        inside = found[bisect_left(firsts, words[0][0]) : bisect_left(firsts, words[-1][1])]
+        if inside and is_notice(*parts_of(low, words, inside)):
+            return True
     return False
 
 
+def parts_of(low: str, words: list[tuple[int, int, str]], found: list[tuple[int, int, int]]) -> tuple[list[int], list[int]]:
+    """Kinds and weight of the stretches of a sentence: the longest parts, from left to right, and the words between
+    them. A word weighs 1, function words nothing; in scripts without blanks every four characters weigh as a word."""
+    start, stop = words[0][0], words[-1][1]
+    begins, ends = [a for a, _, _ in words], [b for _, b, _ in words]
+    inside = [f for f in found if f[1] <= stop]
+    # Strong kinds go first, then long ones; what overlaps a part that was taken is left.
+    inside.sort(key=lambda f: (f[0] - f[1], not f[2] & (FAILURE | REQUEST | TECHNIQUE | VERB)))
+    taken = bytearray(stop - start)
+    bits, weight = [], []
+    for a, b, kind in inside:
+        if not any(taken[a - start : b - start]):
+            taken[a - start : b - start] = b"\1" * (b - a)
+            bits.append(kind)
+            n = bisect_right(ends, b) - bisect_left(begins, a)
+            weight.append(max(n, -(-(b - a) // 4) if CLOSE.match(low[a:b]) else 1))
+    for a, b, w in words:
+        left = taken[a - start : b - start].count(0)
+        if CLOSE.search(w):
+            if left:
+                bits.append(0)
+                weight.append(-(-left // 4))
+        elif left == b - a and w not in GLUE:
+            bits.append(0)
+            weight.append(1)
+    return bits, weight
+
+
 def _flag(position: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict = {}
