@@ -1,10 +1,12 @@
 """Noise in text from scanned pages (problem 3): a noisy channel over a corpus language model.
 
 The language model holds counts of words and word pairs of the born-digital texts of the corpus
-(all of them, by partial aggregation). Words and pairs below a share of all tokens are left
-out, which bounds the model by 1 / share entries at every corpus size, so it can be sent to
-the executors. Probabilities of character confusions are counted over all distinct unknown
-words of the scanned texts: those that one confusion turns into exactly one known word. A
+(all of them, by partial aggregation), from LEAST occurrences on, whatever the size of the corpus, so the
+same text is read the same beside any other. The counts are sorted arrays of hashes in one file, which
+the driver writes block by block and every worker maps into memory. Probabilities of character confusions
+are counted over all distinct unknown words of the texts: those that one confusion turns into exactly one
+known word. Confusions of the fixed list are known from the shapes of letters; others come from
+aligning unknown words with known ones that differ in one place. A
 line with unknown words is decoded by Viterbi over the candidates of each word: channel times
 bigram likelihood. What looks like a tag or a number is decoded too if confusions turn it into a
 known word; it stays if a tag is likelier. A word is misread if the best path reads it as another.
@@ -14,26 +16,37 @@ taken out, and a word at a line's end with a hyphen is joined with the next line
 the model knows the whole word, and kept as a compound when it knows the compound.
 
 Results: rows of null or blank text give none; elements that are neither paragraphs nor list
-items are no cases; of rows with one id all distinct texts are read and their noise is united;
+items are no cases; every text of these is judged, whatever its source; of rows with one id all distinct texts are read and their noise is united;
 null ids are left out. A text of a single line has no page furniture.
 """
 
 from __future__ import annotations
 
+import mmap
+import os
 import re
+import shutil
+import uuid
 from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 from math import log
 
+import numpy as np
 import pyarrow as pa
+import xxhash
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docstrata.runtime import checkpoint
 
-WORD_SHARE = 1e-6
-PAIR_SHARE = 1e-6
+#: Occurrences from which a word or pair is known, at every size of the corpus.
 LEAST = 3
+#: Different words in which a confusion must be seen that isn't in the list, and how much commoner these must be.
+SUPPORT, COMMONER = 5, 10
+#: Counts that a mapper holds, and rows of counts that the driver passes on, at once.
+HELD, BLOCK = 200_000, 500_000
 PROSE_TYPES = ("paragraph", "list_item")
 #: What recognition shows, and what stood there.
 CONFUSIONS = (
@@ -54,6 +67,7 @@ MISTAKEN = re.compile(r"^(?=.{3})(?=(?:.*[^\W\d_]){2})(?!\d+(?:st|nd|rd|th|er|er
 #: A tag is as likely as so many words and its characters by chance.
 TAG_SHARE, TAG_CHARACTERS = 1e-3, 36
 UNKNOWN = 1e-11
+LINE = re.compile(r"\r\n|[\n\r\u2028]")
 HYPHEN = "\u2010\u2011\u00ac\u00ad-"
 BREAK = re.compile(r"(\S+?)([\u2010\u2011\u00ac\u00ad-])[ \t\u00a0]*$")
 PAGE = re.compile(
@@ -63,35 +77,87 @@ PAGE = re.compile(
 NUMBERED_END = re.compile(r"[\s\-–—|]+(?:page\s*)?(?:\d{1,4}(?:\s*/\s*\d{1,4})?|[ivxlc]{1,6})\s*$", re.IGNORECASE)
 
 
+class Counts:
+    """Numbers of words, pairs of words or lines by their hashes, in sorted arrays; the last ones asked are remembered."""
+
+    def __init__(self, hashes: np.ndarray, numbers: np.ndarray):
+        self.hashes, self.numbers = hashes, numbers
+        self.seen: dict = {}
+
+    def get(self, key: str | tuple[str, str], other: int = 0) -> int:
+        n = self.seen.get(key)
+        if n is None:
+            if len(self.seen) > HELD:
+                self.seen.clear()
+            h = xxhash.xxh64_intdigest(key.encode("utf-8", "replace"), 42) if isinstance(key, str) else xxhash.xxh64_intdigest(key[1].encode("utf-8", "replace"), xxhash.xxh64_intdigest(key[0].encode("utf-8", "replace"), 42))
+            k = int(np.searchsorted(self.hashes, np.uint64(h)))
+            n = self.seen[key] = int(self.numbers[k]) if k < len(self.hashes) and self.hashes[k] == h else 0
+        return n or other
+
+    def __contains__(self, key) -> bool:
+        return self.get(key) > 0
+
+    def __getitem__(self, key) -> int:
+        return self.get(key)
+
+    def any_of(self, words: list[str]) -> list[int]:
+        """Positions of the known ones among many words."""
+        if not words or not len(self.hashes):
+            return []
+        h = np.fromiter((xxhash.xxh64_intdigest(w.encode("utf-8", "replace"), 42) for w in words), np.uint64, len(words))
+        return np.flatnonzero(self.hashes[np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)] == h).tolist()
+
+
+class Plain(dict):
+    """The same over a small dictionary."""
+
+    def any_of(self, words: list[str]) -> list[int]:
+        return [i for i, w in enumerate(words) if w in self]
+
+
 class Model:
     """Counts of the corpus language and the confusion probabilities."""
 
-    def __init__(self, words: dict[str, int], pairs: dict[tuple[str, str], int], headers: frozenset, costs: dict[tuple[str, str], float] | None = None):
-        self.words, self.pairs, self.headers = words, pairs, headers
-        self.total = max(1, sum(words.values()))
+    def __init__(self, words, pairs, headers, costs: dict[tuple[str, str], float] | None = None, total: int = 0, longest: int = 0):
+        self.words, self.pairs, self.headers = Plain(words) if isinstance(words, dict) else words, pairs, headers
+        self.total = max(1, total or sum(words.values()))
         self.costs = costs or {c: log(1e-3) for c in CONFUSIONS}
         self.known: dict[str, list[tuple[str, float]]] = {}
-        self.longest = max(map(len, words), default=0)
+        self.fine: set[str] = set()
+        #: No true word is longer, and two confusions shorten what is seen by no more than this.
+        self.longest = (longest or max(map(len, words), default=0)) + 2 * max((len(s) - len(t) for s, t in self.costs), default=0)
+
+    def plain(self, token: str) -> bool:
+        """Whether a token, as it stands between white space, is read as it is in any context."""
+        if token in self.fine:
+            return True
+        t = token.strip(EDGE)
+        if t.lower() in self.words or not self.readable(t) or not self.candidates(t):
+            if len(self.fine) > HELD:
+                self.fine.clear()
+            self.fine.add(token)
+            return True
+        return False
 
     def candidates(self, token: str) -> list[tuple[str, float]]:
         """All known words that one confusion, or two, may have turned into the token; best first."""
-        if len(token) > self.longest + 2:  # a confusion shortens a word by one character at most
+        if len(token) > self.longest:
             return []
         found = self.known.get(token)
         if found is None:
-            best: dict[str, float] = {}
+            cost: dict[str, float] = {}
             once = list(self._variants(token))
-            for w, c in once:
-                if w.lower() in self.words:
-                    best[w.lower()] = max(best.get(w.lower(), -1e9), c)
+            for v, c in once:
+                cost[v.lower()] = max(cost.get(v.lower(), -1e9), c)
             if len(token) >= 4:
                 for v, c in once:
                     for w, c2 in self._variants(v):
-                        if w.lower() in self.words:
-                            best[w.lower()] = max(best.get(w.lower(), -1e9), c + c2)
-            best.pop(token.lower(), None)
+                        cost[w.lower()] = max(cost.get(w.lower(), -1e9), c + c2)
+            cost.pop(token.lower(), None)
+            forms = list(cost)
+            best = {forms[i]: cost[forms[i]] for i in self.words.any_of(forms)}
             found = sorted(best.items(), key=lambda x: (-x[1] - log(self.words[x[0]]), x[0]))
-            if len(self.known) > 200_000:
+            if len(self.known) > HELD:
                 self.known.clear()
             self.known[token] = found
         return found
@@ -198,7 +264,7 @@ def broken(left: str, right: str, model: Model) -> bool:
 def repair(text: str, model: Model) -> tuple[str, set[str]]:
     """The readable text and the kinds of noise that were in it."""
     noise: set[str] = set()
-    lines = re.split(r"\r\n|[\n\r\u2028]", text)
+    lines = LINE.split(text)
     flag = furniture(lines, model)
     if any(flag):
         noise.add("page_furniture")
@@ -225,9 +291,9 @@ def repair(text: str, model: Model) -> tuple[str, set[str]]:
             elif right and left and (SKIP.match(left) or right[0].isdigit()):
                 carried = tokens.pop().rstrip(HYPHEN) + "-"
         out.append(tokens)
-    words = [[t.strip(EDGE) for t in tokens] for tokens in out]
-    for k, line in enumerate(words):
-        if any(model.readable(t) and t.lower() not in model.words and model.candidates(t) for t in line):
+    for k, tokens in enumerate(out):
+        if not model.fine.issuperset(tokens) and not all(map(model.plain, tokens)):
+            line = [t.strip(EDGE) for t in tokens]
             for j, (t, r) in enumerate(zip(line, model.decode(line))):
                 if t.lower() != r:
                     noise.add("misread")
@@ -240,101 +306,166 @@ def repair(text: str, model: Model) -> tuple[str, set[str]]:
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """text, kind ('clean', 'scan', 'head') -> kind, a, b, n: counts of the partition."""
-    clean: Counter = Counter()
-    pairs: Counter = Counter()
-    scan: Counter = Counter()
-    head: Counter = Counter()
+    """text, clean, scan, head (what it is counted for) -> kind, a, b, n: partial sums. The words of texts that may be
+    scanned are counted line by line, without those that a line's end cuts."""
+    counts: Counter = Counter()
+
+    def flush() -> pa.RecordBatch:
+        kind, a, b = zip(*counts) if counts else ((), (), ())
+        return pa.RecordBatch.from_arrays([pa.array(kind, pa.string()), pa.array(a, pa.string()), pa.array(b, pa.string()), pa.array(counts.values(), pa.int64())], names=["kind", "a", "b", "n"])
+
     for batch in batches:
-        for text, kind in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            if kind == "scan":
-                scan.update(t for w in text.split() if is_word(t := w.strip(EDGE)))
-                continue
-            if kind == "head":
-                head[header_key(text)] += 1
-            low = TOKEN.findall(text.lower())
-            clean.update(low)
-            pairs.update(zip(low, low[1:]))
-    rows = [("word", a, "", n) for a, n in clean.items()] + [("pair", a, b, n) for (a, b), n in pairs.items()] + [("scan", a, "", n) for a, n in scan.items()] + [("head", a, "", n) for a, n in head.items()]
-    for i in range(0, len(rows), 50_000):
-        kind, a, b, n = zip(*rows[i : i + 50_000])
-        yield pa.RecordBatch.from_arrays([pa.array(kind), pa.array(a, pa.string()), pa.array(b, pa.string()), pa.array(n, pa.int64())], names=["kind", "a", "b", "n"])
-
-
-def _confusions(shared):
+        for text, clean, scan, head in zip(*(c.to_pylist() for c in batch.columns)):
+            if scan:
+                seen = [t for line in LINE.split(text) for w in line.split() if is_word(t := w.strip(EDGE)) and t[-1] not in HYPHEN]
+                counts.update(zip(repeat("scan"), seen, repeat("")))
+            if head:
+                counts["head", header_key(text), ""] += 1
+            if clean:
+                low = TOKEN.findall(text.lower())
+                counts.update(zip(repeat("word"), low, repeat("")))
+                counts.update(zip(repeat("pair"), low, low[1:]))
+            if len(counts) > HELD:
+                yield flush()
+                counts.clear()
+    yield flush()
+
+
+def _one_confusion(name: str, confusions: tuple):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = shared.value
+        words = read_model(name)[0]
         seen: Counter = Counter()
         for batch in batches:
             for token, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 if token.lower() in words:
                     seen[("", "")] += n
                     continue
-                hits = set()
-                for s, t in CONFUSIONS:
-                    at = token.find(s)
-                    while at >= 0:
-                        if (token[:at] + t + token[at + len(s) :]).lower() in words:
-                            hits.add((s, t))
-                        at = token.find(s, at + 1)
+                forms = [(token[:at] + t + token[at + len(s) :], (s, t)) for s, t in confusions for at in places(token, s)]
+                hits = {forms[i][1] for i in words.any_of([f.lower() for f, _ in forms])}
                 if len(hits) == 1:
                     seen[hits.pop()] += n
-        rows = [(s, t, n) for (s, t), n in seen.items()]
-        if rows:
-            s, t, n = zip(*rows)
-            yield pa.RecordBatch.from_arrays([pa.array(s), pa.array(t), pa.array(n, pa.int64())], names=["s", "t", "n"])
+        if seen:
+            s, t = zip(*seen)
+            yield pa.RecordBatch.from_arrays([pa.array(s), pa.array(t), pa.array(seen.values(), pa.int64())], names=["s", "t", "n"])
 
     return run
 
 
+def places(text: str, part: str) -> Iterator[int]:
+    at = text.find(part)
+    while at >= 0:
+        yield at
+        at = text.find(part, at + 1)
+
+
+def learned_confusions(counts: DataFrame) -> list[tuple[str, str]]:
+    """What stands in unknown words where a known word, at least COMMONER times as frequent, has something else: up to four
+    characters for one or two, in one place, the word on both sides of it being equal. Kept with SUPPORT different words."""
+    words = counts.where("kind = 'word'").select(F.col("a").alias("w"), "n")
+    tokens = counts.where("kind = 'scan'").groupBy(F.lower("a").alias("w")).agg(F.sum("n").alias("n")).join(words.select("w"), "w", "left_anti")
+
+    def holes(df: DataFrame, most: int, name: str) -> DataFrame:
+        cut = df.where(F.length("w").between(4, 40)).select("w", "n", F.explode(F.sequence(F.lit(1), F.lit(most))).alias("k")).where(F.col("k") < F.length("w") - 1)
+        at = cut.select("w", "n", "k", F.explode(F.sequence(F.lit(1), F.length("w") - F.col("k") + 1)).alias("i"))
+        left, right = F.expr("substring(w, 1, i - 1)"), F.expr("substring(w, i + k)")
+        return at.select(F.xxhash64(left, right).alias("hole"), F.expr("substring(w, i, k)").alias(name), F.col("w").alias(f"{name}_word"), F.col("n").alias(f"{name}_n"))
+
+    pairs = holes(tokens, 4, "s").join(holes(words, 2, "t"), "hole").where((F.col("t_n") >= COMMONER * F.col("s_n")) & (F.left("s", F.lit(1)) != F.left("t", F.lit(1))) & (F.right("s", F.lit(1)) != F.right("t", F.lit(1))))
+    one = pairs.groupBy("s_word").agg(F.count_distinct("t_word").alias("words"), F.min(F.struct(F.length("s") + F.length("t"), "s", "t", "t_word")).alias("best")).where("words = 1")
+    rows = one.groupBy("best.s", "best.t").agg(F.count_distinct("best.t_word").alias("support")).where(F.col("support") >= SUPPORT).collect()
+    return sorted((r[0], r[1]) for r in rows)
+
+
 def records(elements: DataFrame, images: DataFrame) -> DataFrame:
-    """record_kind, record_id, text of the texts that may come from scanned pages: those with a
-    line end, and those whose first provenance isn't the page's own text layer."""
-    scanned = F.col("text").contains("\n") | F.col("text").contains("\r") | ~F.coalesce(F.try_element_at("provenance", F.lit(1))["source"] == "layout", F.lit(False))
-    e = elements.where(F.col("type").isin(*PROSE_TYPES) & F.col("id").isNotNull() & (F.length(F.trim("text")) > 0) & scanned).select(F.lit("element").alias("record_kind"), F.col("id").alias("record_id"), "text")
+    """record_kind, record_id, text of all paragraphs, list items and texts of images."""
+    e = elements.where(F.col("type").isin(*PROSE_TYPES) & F.col("id").isNotNull() & (F.length(F.trim("text")) > 0)).select(F.lit("element").alias("record_kind"), F.col("id").alias("record_id"), "text")
     i = images.where(F.col("id").isNotNull() & (F.length(F.trim("ocr_text")) > 0)).select(F.lit("image").alias("record_kind"), F.col("id").alias("record_id"), F.col("ocr_text").alias("text"))
     return e.unionAll(i)
 
 
-def build_model(elements: DataFrame, images: DataFrame):
-    """The model as a broadcast variable. Its parts are bounded by their shares."""
-    sc = elements.sparkSession.sparkContext
-    first = F.try_element_at("provenance", F.lit(1))["source"]
-    clean = elements.where((F.length("text") > 0) & (first == "layout") & ~F.col("text").contains("\n")).select("text", F.when(F.col("type").isin("header", "footer"), "head").otherwise("clean").alias("kind"))
-    heads = elements.where((F.length("text") > 0) & (first != "layout") & F.col("type").isin("header", "footer")).select("text", F.lit("head").alias("kind"))
-    scans = records(elements, images).select("text", F.lit("scan").alias("kind"))
-    counts = checkpoint(clean.unionAll(heads).unionAll(scans).mapInArrow(_count, "kind string, a string, b string, n bigint").groupBy("kind", "a", "b").agg(F.sum("n").alias("n")))
-    totals = {r[0]: r[1] for r in counts.groupBy("kind").agg(F.sum("n")).collect()}
-
-    def bounded(kind: str, share: float, least: int) -> pa.Table:
-        floor = max(least, -(-int(totals.get(kind, 0) * share * 1e9) // 10**9))
-        return counts.where((F.col("kind") == kind) & (F.col("n") >= floor)).select("a", "b", "n").toArrow()
-
-    w = bounded("word", WORD_SHARE, LEAST)
-    words = dict(zip(w.column(0).to_pylist(), w.column(2).to_pylist()))
-    if not words:  # nothing born digital: the scanned words that recur
-        w = bounded("scan", WORD_SHARE, 5 * LEAST)
-        for a, n in zip(w.column(0).to_pylist(), w.column(2).to_pylist()):
-            words[a.lower()] = words.get(a.lower(), 0) + n
-    p = bounded("pair", PAIR_SHARE, LEAST)
-    pairs = dict(zip(zip(p.column(0).to_pylist(), p.column(1).to_pylist()), p.column(2).to_pylist()))
-    h = bounded("head", WORD_SHARE, 1)
-    headers = frozenset(h.column(0).to_pylist()) - {"", "#"}
-    lexicon = sc.broadcast(frozenset(words))
-    found = counts.where(F.col("kind") == "scan").select("a", "n").mapInArrow(_confusions(lexicon), "s string, t string, n bigint").groupBy("s", "t").agg(F.sum("n").alias("n")).collect()
-    seen = {(r[0], r[1]): r[2] for r in found}
-    total = sum(seen.values()) + len(CONFUSIONS)
-    costs = {c: log((seen.get(c, 0) + 0.1) / total) for c in CONFUSIONS}
-    return sc.broadcast((words, pairs, headers, costs))
-
-
-def _repair_all(shared, texts: bool):
+ARRAYS = ("words", "word_n", "pairs", "pair_n", "heads", "head_n")
+
+
+def write_model(counts: DataFrame, kind: str) -> tuple[str, int, int]:
+    """The counts as sorted arrays in one file, sent to the executors: its name, the sum and the longest word. kind: of which
+    words the language is ('word', or 'scan' where nothing is born digital). Rows pass the driver in blocks of hashes."""
+    spark = counts.sparkSession
+    word = counts.where((F.col("kind") == kind)).groupBy(F.lower("a").alias("a")).agg(F.sum("n").alias("n")).where(F.col("n") >= (LEAST if kind == "word" else 5 * LEAST))
+    parts = {
+        "words": word.select(F.xxhash64("a").alias("h"), "n", F.length("a").alias("size")),
+        "pairs": counts.where((F.col("kind") == "pair") & (F.col("n") >= LEAST)).select(F.xxhash64("a", "b").alias("h"), "n", F.lit(0).alias("size")),
+        "heads": counts.where((F.col("kind") == "head") & ~F.col("a").isin("", "#")).select(F.xxhash64("a").alias("h"), "n", F.lit(0).alias("size")),
+    }
+    folder = os.path.join(SparkFiles.getRootDirectory(), f"model-{uuid.uuid4().hex}")
+    os.makedirs(folder)
+    sizes, total, longest = [], 0, 0
+    paths = [os.path.join(folder, n) for n in ARRAYS]
+    for k, df in enumerate(parts.values()):
+        df = checkpoint(df)
+        facts = df.agg(F.count("*"), F.sum("n"), F.max("size")).first()
+        if not k:
+            total, longest = facts[1] or 0, facts[2] or 0
+        blocks = max(1, -(-facts[0] // BLOCK))
+        with open(paths[2 * k], "wb") as f, open(paths[2 * k + 1], "wb") as g:
+            for b in range(blocks):  # a block is a range of hashes, unsigned
+                low, high = ((-(-(i << 64) // blocks)) - (1 << 63) for i in (b, b + 1))
+                shifted = F.col("h").bitwiseXOR(F.lit(-(1 << 63)).cast("bigint"))
+                t = df.where((shifted >= low) & (shifted <= high - 1)).select("h", "n").toArrow()
+                h = np.asarray(t.column(0), np.int64).view(np.uint64)
+                order = np.argsort(h)
+                f.write(h[order].tobytes())
+                g.write(np.asarray(t.column(1), np.int64)[order].tobytes())
+        sizes += [facts[0], facts[0]]
+    name = f"{os.path.basename(folder)}.bin"
+    with open(os.path.join(folder, name), "wb") as out:
+        out.write(np.array(sizes, np.int64).tobytes())
+        for path in paths:
+            with open(path, "rb") as f:
+                shutil.copyfileobj(f, out)
+            os.remove(path)
+    spark.sparkContext.addFile(os.path.join(folder, name))
+    return name, total, longest
+
+
+def read_model(name: str) -> tuple[Counts, Counts, Counts]:
+    with open(SparkFiles.get(name), "rb") as f:
+        m = mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ)
+    at, out = 8 * len(ARRAYS), []
+    for k, n in enumerate(np.frombuffer(m, np.int64, len(ARRAYS)).tolist()):
+        out.append(np.frombuffer(m, np.int64 if k % 2 else np.uint64, n, at))
+        at += 8 * n
+    return Counts(*out[:2]), Counts(*out[2:4]), Counts(*out[4:])
+
+
+def build_model(elements: DataFrame, images: DataFrame) -> tuple:
+    """What a worker needs for its model: name of the file, costs of confusions, sum and longest word."""
+    first = F.coalesce(F.try_element_at("provenance", F.lit(1))["source"] == "layout", F.lit(False))
+    prose = F.col("type").isin(*PROSE_TYPES) & F.col("id").isNotNull() & (F.length(F.trim("text")) > 0)
+    head = F.col("type").isin("header", "footer")
+    own = elements.where(F.length("text") > 0).select("text", (first & ~head & ~F.col("text").contains("\n")).alias("clean"), F.coalesce(prose, F.lit(False)).alias("scan"), F.coalesce(head, F.lit(False)).alias("head"))
+    ocr = images.where(F.length(F.trim("ocr_text")) > 0).select(F.col("ocr_text").alias("text"), F.lit(False), F.lit(True), F.lit(False))
+    counts = checkpoint(own.unionAll(ocr).mapInArrow(_count, "kind string, a string, b string, n bigint").groupBy("kind", "a", "b").agg(F.sum("n").alias("n")))
+    digital = not counts.where((F.col("kind") == "word") & (F.col("n") >= LEAST)).isEmpty()
+    name, total, longest = write_model(counts, "word" if digital else "scan")
+    confusions = tuple(dict.fromkeys([*CONFUSIONS, *(learned_confusions(counts) if digital else [])]))
+    rows = counts.where(F.col("kind") == "scan").select("a", "n").mapInArrow(_one_confusion(name, confusions), "s string, t string, n bigint").groupBy("s", "t").agg(F.sum("n").alias("n")).collect()
+    seen = {(r[0], r[1]): r[2] for r in rows}
+    weight = sum(seen.values()) + len(confusions)
+    return name, {c: log((seen.get(c, 0) + 0.1) / weight) for c in confusions}, total, longest
+
+
+def _repair_all(shared: tuple, texts: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = Model(*shared.value)
+        name, costs, total, longest = shared
+        model = Model(*read_model(name), costs, total, longest)
         for batch in batches:
             kinds, ids, out = [], [], []
             for kind, key, text in zip(*(c.to_pylist() for c in batch.columns)):
-                fixed, noise = repair(text, model)
+                tokens = text.split()
+                if model.fine.issuperset(tokens) and not LINE.search(text):
+                    fixed, noise = " ".join(tokens), ()
+                else:
+                    fixed, noise = repair(text, model)
                 for x in [fixed] if texts else sorted(noise):
                     kinds.append(kind)
                     ids.append(key)
@@ -351,6 +482,6 @@ def found(elements: DataFrame, images: DataFrame) -> DataFrame:
 
 
 def repaired(elements: DataFrame, images: DataFrame) -> DataFrame:
-    """record_kind, record_id, text: the readable text of every record that may be scanned."""
+    """record_kind, record_id, text: the readable text of every paragraph, list item and text of an image."""
     model = build_model(elements, images)
     return records(elements, images).mapInArrow(_repair_all(model, True), "record_kind string, record_id string, text string").distinct()
