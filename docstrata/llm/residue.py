@@ -95,7 +95,9 @@ TAG = re.compile(r"</?(?:%s)\b[^<>]*>" % "|".join(sorted(MARKUP | {"title"})), r
 
 
 #: Kinds of parts, as bits: a whole phrase, what failed, what to do, techniques, subjects, verbs and objects of filler.
-PHRASE, FAILURE, REQUEST, TECHNIQUE, SUBJECT, VERB, OBJECT = (1 << k for k in range(7))
+PHRASE, FAILURE, REQUEST, TECHNIQUE, SUBJECT, VERB, OBJECT, PRINTERS = (1 << k for k in range(8))
+#: Without one of these in it a sentence is no residue.
+DECISIVE = PHRASE | FAILURE | REQUEST | VERB | PRINTERS
 #: Scripts written without blanks, where parts need no ends of words.
 CLOSE = re.compile(r"[\u0e00-\u0eff\u3040-\u30ff\u3400-\u9fff\uac00-\ud7af]")
 
@@ -107,7 +109,10 @@ def automaton():
     kinds: dict[str, int] = {phrase: PHRASE for phrase in {*ERRORS, *SCRIPTS, *FILLER}}
     for bit, table in ((FAILURE, notices.FAILURES), (REQUEST, notices.REQUESTS), (TECHNIQUE, notices.TECHNIQUES), (SUBJECT, notices.SUBJECTS), (VERB, notices.FILLER_VERBS), (OBJECT, notices.FILLER_OBJECTS)):
         for part in notices.parts(table):
-            kinds[part] = kinds.get(part, 0) | bit
+            if part not in GLUE:
+                kinds[part] = kinds.get(part, 0) | bit
+    for word in LATIN - GLUE:
+        kinds[word] = kinds.get(word, 0) | PRINTERS
     a = ahocorasick.Automaton()
     for part, bits in kinds.items():
         a.add_word(part.rstrip("*"), (part.rstrip("*"), bits, part.endswith("*")))
@@ -119,7 +124,7 @@ def automaton():
 
 def is_notice(bits: list[int], weight: list[int]) -> bool:
     """Whether the parts of a sentence (their kinds, and 0 for words that are none) make a notice or a request for a text."""
-    parts = [b & ~PHRASE for b in bits]
+    parts = bits
     total = sum(weight)
     if sum(w for b, w in zip(parts, weight) if b) < PARTS_COVERAGE * total:
         return False
@@ -140,7 +145,7 @@ def is_residue(caption: str | None) -> bool:
     masked = QUOTED.sub(lambda m: " " * len(m[0]), text)
     body = PREFIX.sub("", masked).strip(" \t\r\n*\"'")
     low = re.sub(r"[\d][\d.,]*\d|\d", "#", body.lower().replace("’", "'"))
-    covered = bytearray(len(low))
+    covered, decisive = bytearray(len(low)), 0
     found: list[tuple[int, int, int]] = []
     for end, (what, bits, free) in automaton().iter(low):
         first = end - len(what) + 1
@@ -150,8 +155,9 @@ def is_residue(caption: str | None) -> bool:
             if CLOSE.match(what) or not (what[0].isalnum() and joined[0]) and (free or not (what[-1].isalnum() and joined[1])):
                 if bits & PHRASE:
                     covered[first : end + 1] = b"\1" * len(what)
-                if bits & ~PHRASE and what not in GLUE:
-                    found.append((first, end + 1, bits & ~PHRASE))
+                decisive |= bits & DECISIVE
+                if bits & ~(PHRASE | PRINTERS):
+                    found.append((first, end + 1, bits & ~(PHRASE | PRINTERS)))
     if any(c in masked for c in SYNTAX):
         for what in {what for _, (what, bits, _) in automaton().iter(masked) if not bits}:
             if any((m[0][0] != "<" or not m.groups() or not m[1] or m[1].lower() not in MARKUP) for m in SYNTAX[what].finditer(masked)):
@@ -166,6 +172,8 @@ def is_residue(caption: str | None) -> bool:
         return True
     if plain[:1] in "{[" and covered.count(1) >= 4:  # a bare answer of a service
         return True
+    if not decisive:
+        return False
     found.sort()
     firsts = [f[0] for f in found]
     at = 0

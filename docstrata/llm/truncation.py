@@ -1,7 +1,7 @@
 """Text cut off by field limits or in transfer (problem 1), in SQL.
 
-Every token trigram (words, marks and sentence breaks; numbers are one token, tags of
-instruments another) is counted over all captions: how often it stands somewhere, how often a
+Every token trigram (words, marks and sentence breaks; numbers and tags of
+instruments are one token) is counted over all captions: how often it stands somewhere, how often a
 text, or a sentence with its mark, ends with it. The final trigram of each text is joined with
 these counts; one that is frequent inside but almost never last marks a cut. The share of ends
 is smoothed, not switched: a trigram backs off to its pair and its last token, each weighing as
@@ -46,15 +46,18 @@ TRACE = r"(<[/!]?\w{0,12}|&#?\w{1,8}|\\(u[0-9a-fA-F]{0,4}|x[0-9a-fA-F]{0,2})?|\[
 DONE = r'[.!?]["“”’)\]\s]*$'
 TOKEN = r"\p{L}[\p{L}\p{N}\x27’-]*|0|[^\s\p{L}\p{N}\"“’]"
 
-#: Texts without decoration and trace, and their tokens; '¶' stands where a sentence begins.
+#: Texts without decoration and trace, and their tokens; '¶' stands where a sentence begins. What is asked of the ends is
+#: asked of the first and last characters only.
 TEXTS = r"""
-SELECT DISTINCT id, document_id, caption_source, caption, trim(regexp_replace(regexp_replace(trim(regexp_replace(caption, r'\s+', ' ')), r'^([*"] ?|<p>)|( ?[*]|</p>)$|(?<=[.”)])"$', ''), r'{trace}', '')) AS text
-FROM {captions} WHERE id IS NOT NULL AND length(trim(caption)) > 0
+SELECT id, document_id, caption_source, concat(regexp_replace(left(body, 4), r'^([*"] ?|<p>)', ''), substring(body, 5, length(body) - 4 - least(24, length(body) - 4)),
+    trim(regexp_replace(regexp_replace(right(body, greatest(0, least(24, length(body) - 4))), r'( ?[*]|</p>)$|(?<=[.”)])"$', ''), r'{trace}', ''))) AS text
+FROM (SELECT *, trim(BOTH ' 	
+' FROM caption) AS body FROM {captions}) WHERE id IS NOT NULL AND length(body) > 0
 """
 TOKENS = r"""
 SELECT *, size(words) AS n, coalesce(nullif(size(words) + 1 - array_position(reverse(words), '¶'), size(words) + 1), 0) AS s FROM (
-  SELECT id, caption_source, xxhash64(document_id, text) AS copy, text RLIKE r'{done}' AND NOT text RLIKE r' [\d.,]*\d\.$' AS done,
-    regexp_extract_all(lower(regexp_replace(regexp_replace(regexp_replace(text, r'(?<=[.!?]["”’)]?)\s+(?=[\p{Lu}“"])', ' ¶ '), r'(?<!\p{L})\p{L}++-\d+([.,]\d+)*', 'tag'), r'\d+([.,]\d*)*', '0')), r'{token}', 0) AS words
+  SELECT id, caption_source, xxhash64(document_id, text) AS copy, right(text, 24) RLIKE r'{done}' AND NOT right(text, 24) RLIKE r'\s[\d.,]*\d\.$' AS done,
+    regexp_extract_all(lower(regexp_replace(regexp_replace(text, r'(?<=[.!?]["”’)]?)\s+(?=[\p{Lu}“"])', ' ¶ '), r'(?<!\p{L})(?:\p{L}++-)?\d+([.,]\d*)*', '0')), r'{token}', 0) AS words
   FROM {texts} WHERE text <> ''
 ) WHERE size(words) > 0
 """
@@ -81,31 +84,31 @@ SELECT key, count(*) AS n, count_if(last) AS t FROM (
 SLOTS = ["u3", "uf3", "u2", "uf2", "u1", "l3", "lf3", "l2", "lf2", "l1", "l0", "op", "unmarked"]
 #: The keys of the last place of each text.
 FINAL = f"""
-SELECT row_id, id, caption_source, done, word, posexplode(keys) AS (slot, key) FROM (
+SELECT row_id, IF(slot = 0, id, NULL) AS id, IF(slot = 0, caption_source, NULL) AS caption_source, done, word, slot, key FROM (SELECT row_id, id, caption_source, done, word, posexplode(keys) AS (slot, key) FROM (
   SELECT row_id, id, caption_source, done, {WORD} AS word, concat(array({KEYS.format(o="0")}),
     IF(NOT done AND o IS NOT NULL, array({KEYS.format(o="o")}, xxhash64(0, o), o, xxhash64(7, o)), array())) AS keys FROM {{places}}
-)
+))
 """
 LOOKED_UP = """
-SELECT row_id, {slots} FROM {{keys}} GROUP BY row_id
+SELECT max(id) AS id, max(caption_source) AS caption_source, first(done) AS done, first(word) AS word, {slots} FROM {{keys}} GROUP BY row_id
 """.format(slots=", ".join(f"max(IF(slot = {i}, n, NULL)) AS n_{s}, max(IF(slot = {i}, t, NULL)) AS t_{s}" for i, s in enumerate(SLOTS)))
 
 
 def _smoothed(set_: str, prior: str) -> str:
     """Shares of ends without the text itself, for the last token as it is and as any word."""
-    share = lambda g, back, weight=BACKOFF: f"(greatest(t_{set_}{g} - 1, 0) + {weight} * ({back})) / (greatest(n_{set_}{g} - 1, 0) + {weight})"
+    share = lambda g, back, weight=BACKOFF: f"(greatest(t_{set_}{g} - 1, 0) + {weight}D * ({back})) / (greatest(n_{set_}{g} - 1, 0) + {weight}D)"
     own = share("3", share("2", share("1", prior, SINGLE)))
     word = share("f3", share("f2", prior))
     return f"CASE WHEN NOT word THEN {own} WHEN n_{set_}1 - 1 >= {KNOWN} THEN least({own}, {word}) ELSE {word} END"
 
 
 SHARES = f"""
-SELECT id, caption_source, done, n_u3 AS n, t_u3 AS t, unmarked_share, IF(unmarked_share > 0.5, {_smoothed("l", "t_l0 / n_l0")}, {_smoothed("u", str(PRIOR))}) AS end_share FROM (
+SELECT id, caption_source, done, n_u3 AS n, t_u3 AS t, unmarked_share, IF(unmarked_share > 0.5D, {_smoothed("l", "t_l0 / n_l0")}, {_smoothed("u", f"{PRIOR}D")}) AS end_share FROM (
   SELECT *, IF(n_op >= {OPENING_MIN}, coalesce(n_unmarked, 0) / n_op, NULL) AS unmarked_share FROM {{rows}}
 )
 """
 DECIDED = f"""
-SELECT *, end_share <= {SHARE} OR (NOT done AND end_share < {TIE} AND coalesce(unmarked_share < 0.5, FALSE)) AS cut FROM {{shares}}
+SELECT *, end_share <= {SHARE}D OR (NOT done AND end_share < {TIE}D AND coalesce(unmarked_share < 0.5D, FALSE)) AS cut FROM {{shares}}
 """
 
 
@@ -145,8 +148,7 @@ def decisions(captions: DataFrame) -> DataFrame:
     counts = checkpoint(_sql(spark, COUNTS, places=_sql(spark, PLACES, tokens=once, row="", places="sequence(0, n - 1)")))
     places = _sql(spark, PLACES, tokens=tokens, row="row_id, id, caption_source,", places="array(n - 1)")
     finals = checkpoint(_sql(spark, FINAL, places=places))
-    pivoted = _sql(spark, LOOKED_UP, keys=_looked_up(finals.select("row_id", "slot", "key"), counts))
-    rows = finals.where("slot = 0").select("row_id", "id", "caption_source", "done", "word").join(pivoted, "row_id")
+    rows = _sql(spark, LOOKED_UP, keys=_looked_up(finals, counts))
     return _sql(spark, DECIDED, shares=_sql(spark, SHARES, rows=rows))
 
 
