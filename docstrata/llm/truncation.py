@@ -58,8 +58,8 @@ TOKENS = r"""
 SELECT *, size(words) AS n, coalesce(nullif(size(words) + 1 - array_position(reverse(words), '¶'), size(words) + 1), 0) AS s FROM (
   SELECT id, caption_source, xxhash64(document_id, text) AS copy, right(text, 24) RLIKE r'{done}' AND NOT right(text, 24) RLIKE r'\s[\d.,]*\d\.$' AS done,
     regexp_extract_all(lower(regexp_replace(regexp_replace(text, r'(?<=[.!?]["”’)]?)\s+(?=[\p{Lu}“"])', ' ¶ '), r'(?<!\p{L})(?:\p{L}++-)?\d+([.,]\d*)*', '0')), r'{token}', 0) AS words
-  FROM {texts} WHERE text <> ''
-) WHERE size(words) > 0
+  FROM {texts}
+)
 """
 #: A word: its first letter is one (marks between U+2000 and U+2BFF are none).
 WORD = "(c >= 'a' AND c < '\\u007b' OR c >= 'À' AND c < '\u2000' OR c >= '\u2c00')"
@@ -143,7 +143,7 @@ def decisions(captions: DataFrame) -> DataFrame:
     """captions: id, document_id, caption_source, caption. id, caption_source, done (ends with a mark),
     n and t (occurrences of the final trigram, and at ends), unmarked_share of the opening, end_share, cut."""
     spark = captions.sparkSession
-    tokens = checkpoint(_sql(spark, TOKENS, texts=_sql(spark, TEXTS, captions=captions, trace=TRACE), done=DONE, token=TOKEN).withColumn("row_id", F.monotonically_increasing_id()))
+    tokens = checkpoint(_sql(spark, TOKENS, texts=_sql(spark, TEXTS, captions=captions, trace=TRACE), done=DONE, token=TOKEN).withColumn("row_id", F.monotonically_increasing_id())).where("n > 0")  # asked of the stored tokens: below the table it would tokenise twice
     once = tokens.groupBy("copy").agg(F.first(F.struct("done", "words", "n", "s")).alias("r")).select("copy", "r.*")
     counts = checkpoint(_sql(spark, COUNTS, places=_sql(spark, PLACES, tokens=once, row="", places="sequence(0, n - 1)")))
     places = _sql(spark, PLACES, tokens=tokens, row="row_id, id, caption_source,", places="array(n - 1)")
