@@ -7,15 +7,13 @@ page 1 for ids; null provenance pages count as page 1 too.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docstrata.functions import scalars as S
 from docstrata.operators.scans import with_ordinal, with_running_max
 from docstrata.runtime import checkpoint
 
-MAX_LEVELS = 32
-
 
 def typed(items: DataFrame) -> DataFrame:
     """Label, text and type of every item, its level and its page."""
@@ -29,15 +27,22 @@ def typed(items: DataFrame) -> DataFrame:
 
 def repeated_texts(items: DataFrame, min_pages: int = 3) -> DataFrame:
     """document_id, text, n_pages of non-empty texts that stand on min_pages pages or more."""
-    at = typed(items).where(F.col("text") != "").select("document_id", "text", F.explode(F.transform("provenance", lambda p: p["page"])).alias("page"))
+    return _repeated(typed(items), min_pages)
+
+
+def _repeated(rows: DataFrame, min_pages: int) -> DataFrame:
+    at = rows.where(F.col("text") != "").select("document_id", "text", F.explode(F.transform("provenance", lambda p: p["page"])).alias("page"))
     return at.distinct().groupBy("document_id", "text").agg(F.count("page").alias("n_pages")).where(F.col("n_pages") >= min_pages)
 
 
 def reclassified(items: DataFrame, min_pages: int = 3) -> DataFrame:
-    """typed() with repeated texts turned into headers, or footers if they hold a page number."""
-    often = repeated_texts(items, min_pages).select("document_id", "text", F.lit(True).alias("repeated"))
+    """typed() with repeated texts turned into headers, or footers if they hold a page number. Blank texts, which never
+    repeat and may be most of a document, stay out of the join."""
+    rows = checkpoint(typed(items))
+    often = _repeated(rows, min_pages).select("document_id", "text", F.lit(True).alias("repeated"))
     kind = F.when(F.col("repeated") & F.col("text").rlike(S.PAGE_NUMBER), "footer").when(F.col("repeated") & ~F.col("type").isin("header", "footer"), "header").otherwise(F.col("type"))
-    return typed(items).join(often, ["document_id", "text"], "left").withColumn("type", kind).drop("repeated")
+    judged = rows.where(F.col("text") != "").join(often, ["document_id", "text"], "left").withColumn("type", kind).drop("repeated")
+    return judged.unionByName(rows.where(F.col("text") == ""))
 
 
 def identified(items: DataFrame, min_pages: int = 3) -> DataFrame:
@@ -48,10 +53,8 @@ def identified(items: DataFrame, min_pages: int = 3) -> DataFrame:
 
 
 def stack_levels(elements: DataFrame) -> list[int]:
-    """The distinct levels of headings that can be parents."""
-    rows = elements.where((F.col("type") == "heading") & F.col("heading_level").isNotNull()).select("heading_level").distinct().limit(MAX_LEVELS + 1).collect()
-    if len(rows) > MAX_LEVELS:
-        raise ValueError(f"more than {MAX_LEVELS} heading levels")
+    """The distinct levels of headings that can be parents; depths of nesting, not data, so a handful."""
+    rows = elements.where((F.col("type") == "heading") & F.col("heading_level").isNotNull()).select("heading_level").distinct().collect()
     return sorted(r[0] for r in rows)
 
 
@@ -66,14 +69,10 @@ def with_ancestors(elements: DataFrame, levels: list[int] | None = None) -> Data
     narrow = elements.select("document_id", "pos", "id", "type", "heading_level", F.when(eligible, F.col("text")).alias("text"))
     seen = with_running_max(narrow, "document_id", "pos", {f"m{k}": F.when(eligible & (F.col("heading_level") == k), F.struct(F.col("pos"), F.col("id"), F.col("text"))) for k in levels})
 
-    def usable(k: int) -> Column:
-        reaches = ~eligible | (F.col("heading_level") > k)
-        for j in levels:
-            if j < k:
-                reaches = reaches & (F.col(f"m{j}").isNull() | (F.col(f"m{j}.pos") < F.col(f"m{k}.pos")))
-        return F.when(reaches, F.col(f"m{k}"))
-
-    path = F.filter(F.array(*[usable(k) for k in levels]), lambda x: x.isNotNull())
+    # Outermost first: a heading is an ancestor if it stands later than all of smaller levels.
+    last = F.array(*[F.when(~eligible | (F.col("heading_level") > k), F.col(f"m{k}")) for k in levels])
+    later = lambda kept, x: F.try_element_at(kept, F.lit(-1))["pos"].isNull() | (F.try_element_at(kept, F.lit(-1))["pos"] < x["pos"])
+    path = F.aggregate(last, F.array().cast(seen.select(last).schema[0].dataType), lambda kept, x: F.when(x.isNotNull() & later(kept, x), F.concat(kept, F.array(x))).otherwise(kept))
     found = seen.select("document_id", "pos", path.alias("_path"))
     found = found.select("document_id", "pos", F.try_element_at("_path", F.lit(-1))["id"].alias("parent_id"), F.transform("_path", lambda x: x["text"]).alias("heading_path"))
     return elements.join(found, ["document_id", "pos"])

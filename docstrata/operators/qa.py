@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from docstrata.config import Thresholds
 from docstrata.functions import scalars as S
 from docstrata.operators.scans import with_running_max
+from docstrata.runtime import checkpoint
 
 
 def _finding(df: DataFrame, severity: str, code: str, message: Column, element: Column | None = None, page: Column | None = None) -> DataFrame:
@@ -38,12 +39,31 @@ def missing_parents(e: DataFrame) -> DataFrame:
     return _finding(lost, "error", "missing_parent", F.lit("Parent reference does not exist"), F.col("id"), _page())
 
 
+def _listed(e: DataFrame) -> DataFrame:
+    """Every row with the row before it and the heading before it: one pass for both rules of list order."""
+    narrow = e.select("document_id", "pos", "id", "reading_order", "heading_level", _page().alias("page"))
+    return with_running_max(narrow, "document_id", "pos", {"before": F.struct("pos", "reading_order"), "heading": F.when(F.col("heading_level").isNotNull(), F.struct("pos", "heading_level"))})
+
+
+def _late() -> Column:
+    return F.coalesce(F.col("reading_order") <= F.when(F.col("before").isNull(), F.lit(-1)).otherwise(F.col("before.reading_order")), F.lit(False))
+
+
+def _jump(most: int) -> Column:
+    return F.coalesce(F.col("heading_level") - F.col("heading.heading_level") > most, F.lit(False))
+
+
+def list_order(e: DataFrame, most: int = 1, order: bool = True, jumps: bool = True) -> DataFrame:
+    """Rows that don't exceed the row just before them, and headings more than most levels below the one before."""
+    late = F.when(_late(), F.struct(F.lit("error").alias("severity"), F.lit("reading_order").alias("code"), F.lit("Reading order is not strictly increasing").alias("message"))) if order else None
+    jump = F.when(_jump(most), F.struct(F.lit("warning").alias("severity"), F.lit("heading_jump").alias("code"), F.format_string("Heading jumps from H%d to H%d", "heading.heading_level", "heading_level").alias("message"))) if jumps else None
+    at = _listed(e).select("document_id", "id", "page", F.explode(F.array_compact(F.array(*[c for c in (late, jump) if c is not None]))).alias("f"))
+    return at.select("document_id", "f.severity", "f.code", "f.message", F.col("id").cast("string").alias("element_id"), F.col("page").cast("int").alias("page"))
+
+
 def reading_order(e: DataFrame) -> DataFrame:
     """Rows that don't exceed the row just before them in list order."""
-    narrow = e.select("document_id", "pos", "id", "reading_order", _page().alias("page"))
-    seen = with_running_max(narrow, "document_id", "pos", {"before": F.struct("pos", "reading_order")})
-    late = seen.where(F.col("reading_order") <= F.when(F.col("before").isNull(), F.lit(-1)).otherwise(F.col("before.reading_order")))
-    return _finding(late, "error", "reading_order", F.lit("Reading order is not strictly increasing"), F.col("id"), F.col("page"))
+    return list_order(e, jumps=False)
 
 
 def page_range(e: DataFrame, documents: DataFrame) -> DataFrame:
@@ -53,10 +73,7 @@ def page_range(e: DataFrame, documents: DataFrame) -> DataFrame:
 
 
 def heading_jumps(e: DataFrame, most: int = 1) -> DataFrame:
-    heads = e.where(F.col("heading_level").isNotNull()).select("document_id", "pos", "id", "heading_level", _page().alias("page"))
-    seen = with_running_max(heads, "document_id", "pos", {"before": F.struct("pos", "heading_level")})
-    jump = seen.where(F.col("heading_level") - F.col("before.heading_level") > most)
-    return _finding(jump, "warning", "heading_jump", F.format_string("Heading jumps from H%d to H%d", "before.heading_level", "heading_level"), F.col("id"), F.col("page"))
+    return list_order(e, most, order=False)
 
 
 def metrics(e: DataFrame, documents: DataFrame) -> DataFrame:
@@ -80,14 +97,16 @@ def whole_document(m: DataFrame, t: Thresholds) -> DataFrame:
     return _finding(wrong, "error", "page_count", F.concat(F.lit(f"Expected {t.expected_pages} pages, got "), got)).unionAll(low)
 
 
-def findings(e: DataFrame, documents: DataFrame, t: Thresholds | None = None) -> DataFrame:
+def findings(e: DataFrame, documents: DataFrame, t: Thresholds | None = None, m: DataFrame | None = None) -> DataFrame:
+    """e should be a stored table: every rule reads it. m: metrics() if they are known."""
     t = t or Thresholds()
-    parts = [duplicate_ids(e), missing_parents(e), reading_order(e), page_range(e, documents), heading_jumps(e, t.maximum_heading_level_jump), whole_document(metrics(e, documents), t)]
+    parts = [duplicate_ids(e), missing_parents(e), list_order(e, t.maximum_heading_level_jump), page_range(e, documents), whole_document(metrics(e, documents) if m is None else m, t)]
     return reduce(DataFrame.unionByName, parts)
 
 
 def report(e: DataFrame, documents: DataFrame, t: Thresholds | None = None) -> DataFrame:
     """metrics() with errors, warnings and passed."""
-    n = findings(e, documents, t).groupBy("document_id").agg(F.count_if(F.col("severity") == "error").alias("errors"), F.count_if(F.col("severity") == "warning").alias("warnings"))
-    rows = metrics(e, documents).join(n, "document_id", "left")
+    m = checkpoint(metrics(e, documents))
+    n = findings(e, documents, t, m).groupBy("document_id").agg(F.count_if(F.col("severity") == "error").alias("errors"), F.count_if(F.col("severity") == "warning").alias("warnings"))
+    rows = m.join(n, "document_id", "left")
     return rows.withColumns({"errors": F.coalesce("errors", F.lit(0)), "warnings": F.coalesce("warnings", F.lit(0))}).withColumn("passed", F.col("errors") == 0)

@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from docstrata.functions import scalars as S
 from docstrata.operators import elements as E
 from docstrata.operators import hierarchy, images, qa, shred, tables
 from docstrata.runtime import checkpoint, table
-from docstrata.schema import BBOX, LABEL_TYPES, TYPE_CODES
+from docstrata.schema import BBOX, DOCUMENT, LABEL_TYPES, TABLE, TYPE_CODES
 from docstrata.sources import adapters as A
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,17 +33,41 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
 @query
 def p4_adjacency(spark: SparkSession, d: str) -> DataFrame:
     """The adjacency table of the latest deliveries of documents and tables."""
-    docs = checkpoint(shred.latest(table(spark, d, "canonical_documents"), "id", "delivered_at"))
-    tabs = checkpoint(shred.latest(table(spark, d, "extracted_tables"), "id", "delivered_at"))
+    docs = shred.latest(table(spark, d, "canonical_documents"), "id", "delivered_at")
+    tabs = shred.latest(table(spark, d, "extracted_tables"), "id", "delivered_at")
     return shred.shred(docs, "id", "document").select(F.lit("document").alias("entity"), "*").unionAll(shred.shred(tabs, "id", "table").select(F.lit("table"), "*"))
 
 
+def _member_rows(spark: SparkSession, d: str) -> DataFrame:
+    docs = shred.latest(table(spark, d, "canonical_documents").select("id", "elements", "delivered_at"), "id", "delivered_at").select("id", "elements")
+    return checkpoint(shred.shred(docs, "id", "document"))
+
+
+ELEMENT_FIELDS = ["id", "document_id", "type", "text", "reading_order", "parent_id", "heading_level", "metadata.docling_label", "metadata.traversal_level"]
+PROVENANCE_FIELDS = ["page", "source", "confidence", "bbox.left", "bbox.top", "bbox.right", "bbox.bottom", "bbox.coordinate_origin"]
+
+
+@query
+def p4_elements(spark: SparkSession, d: str) -> DataFrame:
+    """The entity table of elements with the document they stand in and their place in it."""
+    rows = shred.entities(_member_rows(spark, d), "elements", ELEMENT_FIELDS)
+    return rows.select(F.col("parent").alias("parent_key"), F.col("ordinal").alias("child_pos"), *[f.replace(".", "_") for f in ELEMENT_FIELDS])
+
+
+@query
+def p4_provenance(spark: SparkSession, d: str) -> DataFrame:
+    """The entity table of provenance: the place of the element in its document, and in the element."""
+    rows = shred.entities(_member_rows(spark, d), "provenance", PROVENANCE_FIELDS)
+    place = F.regexp_extract("parent", r"\[(\d+)\]$", 1).cast("int")
+    return rows.select(F.col("key").alias("document_key"), place.alias("element_pos"), F.col("ordinal").alias("child_pos"), *[f.replace(".", "_") for f in PROVENANCE_FIELDS])
+
+
 @query
 def p4_cells(spark: SparkSession, d: str) -> DataFrame:
     """The entity table of cells, put together from the adjacency table."""
-    tabs = checkpoint(shred.latest(table(spark, d, "extracted_tables").select("id", "cells", "delivered_at"), "id", "delivered_at").select("id", "cells"))
+    tabs = shred.latest(table(spark, d, "extracted_tables").select("id", "cells", "delivered_at"), "id", "delivered_at").select("id", "cells")
     fields = ["text", "row", "column", "row_span", "column_span", "is_header"]
-    return shred.entities(shred.shred(tabs, "id", "table"), "cells", fields).select(F.col("parent").alias("table_id"), F.col("ordinal").alias("child_pos"), *fields)
+    return shred.entities(checkpoint(shred.shred(tabs, "id", "table")), "cells", fields).select(F.col("parent").alias("table_id"), F.col("ordinal").alias("child_pos"), *fields)
 
 
 @query
@@ -69,12 +94,12 @@ def inspect_documents(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def element_type_counts(spark: SparkSession, d: str) -> DataFrame:
-    return E.typed(A.raw_items(spark, d)).groupBy("type").agg(F.count("*").alias("n"))
+    return E.typed(A.raw_items(spark, d, False)).groupBy("type").agg(F.count("*").alias("n"))
 
 
 @query
 def heading_levels(spark: SparkSession, d: str) -> DataFrame:
-    return E.typed(A.raw_items(spark, d)).groupBy("label", "heading_level").agg(F.count("*").alias("n"))
+    return E.typed(A.raw_items(spark, d, False)).groupBy("label", "heading_level").agg(F.count("*").alias("n"))
 
 
 @query
@@ -285,6 +310,45 @@ LOW = "SELECT document_id, 'error' AS severity, 'low_text' AS code, printf('Only
 ALL_FINDINGS = " UNION ALL ".join([*FINDINGS.values(), LOW])
 
 
+def adjacency_sql(name: str, entity: str, ddl: str) -> tuple[list[str], list[str]]:
+    """Tables (one per level of the schema) and selects that together are the adjacency table of a table's latest rows."""
+    kind = T.StructType.fromDDL(ddl)
+    row = "{" + ", ".join(f"'{f}': {f}" for f in kind.names) + "}"
+    tables = [f"{entity}_0 AS (SELECT id AS key, id AS node, NULL::VARCHAR AS parent, NULL::INT AS ordinal, max_by({row}, coalesce(delivered_at, TIMESTAMP '1900-01-01')) AS v FROM {name} WHERE id IS NOT NULL GROUP BY id)"]
+    selects: list[str] = []
+
+    def visit(level: str, what: T.DataType, label: str) -> None:
+        scalar = "NULL" if isinstance(what, (T.StructType, T.ArrayType, T.MapType)) else "epoch_us(v)" if isinstance(what, T.TimestampType) else "v"
+        sort = "array" if isinstance(what, T.ArrayType) else "object" if scalar == "NULL" else "scalar"
+        selects.append(f"SELECT '{entity}' AS entity, key, node, parent, '{label}' AS label, ordinal, '{sort}' AS kind, CAST({scalar} AS VARCHAR) AS scalar FROM {level} WHERE v IS NOT NULL")
+        if isinstance(what, T.StructType):
+            for f in what.fields:
+                below = f"{entity}_{len(tables)}"
+                tables.append(f"{below} AS (SELECT key, node || '.{f.name}' AS node, node AS parent, NULL::INT AS ordinal, v.{f.name} AS v FROM {level} WHERE v IS NOT NULL)")
+                visit(below, f.dataType, f.name)
+        elif isinstance(what, T.ArrayType):
+            below = f"{entity}_{len(tables)}"
+            tables.append(f"{below} AS (SELECT key, node || '[' || (n - 1) || ']' AS node, node AS parent, CAST(n - 1 AS INT) AS ordinal, v FROM (SELECT key, node, unnest(v) AS v, generate_subscripts(v, 1) AS n FROM {level} WHERE v IS NOT NULL))")
+            visit(below, what.elementType, label)
+        elif isinstance(what, T.MapType):
+            below = f"{entity}_{len(tables)}"
+            tables.append(f"{below} AS (SELECT key, node || '{{' || e.key || '}}' AS node, node AS parent, NULL::INT AS ordinal, e.value AS v FROM (SELECT key, node, unnest(map_entries(v)) AS e FROM {level} WHERE v IS NOT NULL))")
+            visit(below, what.valueType, label)
+
+    visit(f"{entity}_0", kind, entity)
+    return tables, selects
+
+
+def _adjacency() -> str:
+    both = [adjacency_sql("canonical_documents", "document", f"{DOCUMENT}, delivered_at timestamp"), adjacency_sql("extracted_tables", "table", f"{TABLE}, delivered_at timestamp")]
+    return "WITH " + ",\n".join(t for tables, _ in both for t in tables) + "\n" + "\nUNION ALL ".join(s for _, selects in both for s in selects)
+
+
+LATEST_MEMBERS = """WITH d AS (SELECT id, max_by({'e': elements}, coalesce(delivered_at, TIMESTAMP '1900-01-01')) AS s FROM canonical_documents WHERE id IS NOT NULL GROUP BY id),
+el AS (SELECT id, unnest(s.e) AS e, generate_subscripts(s.e, 1) - 1 AS n FROM d)"""
+_fields = lambda v, fields: ", ".join(f"CAST({v}.{f} AS VARCHAR) AS {f.replace('.', '_')}" for f in fields)
+
+
 def oracle_sql() -> dict[str, str]:
     items, paths, cells, pics, dl = f"WITH {ITEMS}", f"WITH RECURSIVE {ITEMS}{PATHS}", f"WITH {CELLS}", f"WITH {PICTURES}", f"WITH {DELIVERED}"
     return {
@@ -294,6 +358,9 @@ el AS (SELECT id, unnest(s.e) AS e, generate_subscripts(s.e, 1) - 1 AS n FROM d)
 pr AS (SELECT e.id AS id, unnest(e.provenance) AS p, generate_subscripts(e.provenance, 1) - 1 AS n FROM el WHERE e IS NOT NULL)
 SELECT DISTINCT 'element' AS relation, id AS parent_key, CAST(n AS INT) AS child_pos FROM el WHERE e IS NOT NULL
 UNION SELECT 'provenance', id, CAST(n AS INT) FROM pr WHERE p IS NOT NULL UNION SELECT 'cell', id, CAST(n AS INT) FROM ce WHERE c IS NOT NULL""",
+        "p4_adjacency": _adjacency(),
+        "p4_elements": f"{LATEST_MEMBERS} SELECT id AS parent_key, CAST(n AS INT) AS child_pos, {_fields('e', ELEMENT_FIELDS)} FROM el WHERE e IS NOT NULL",
+        "p4_provenance": f"{LATEST_MEMBERS}, p AS (SELECT id AS document_key, CAST(n AS INT) AS element_pos, unnest(e.provenance) AS p, generate_subscripts(e.provenance, 1) - 1 AS k FROM el WHERE e IS NOT NULL) SELECT document_key, element_pos, CAST(k AS INT) AS child_pos, {_fields('p', PROVENANCE_FIELDS)} FROM p WHERE p IS NOT NULL",
         "p4_cells": f"WITH {LATEST_TABLES}, c AS (SELECT id, unnest(cells) AS c, generate_subscripts(cells, 1) - 1 AS n FROM lt) SELECT id AS table_id, CAST(n AS INT) AS child_pos, c.text AS text, CAST(c.row AS VARCHAR) AS row, CAST(c.column AS VARCHAR) AS column, CAST(c.row_span AS VARCHAR) AS row_span, CAST(c.column_span AS VARCHAR) AS column_span, CAST(c.is_header AS VARCHAR) AS is_header FROM c WHERE c IS NOT NULL",
         "p7_found": f"""{FOREST}
 SELECT id AS element_id, 'dangling' AS link_state FROM dang UNION ALL SELECT id, state FROM broken""",

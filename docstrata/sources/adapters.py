@@ -16,10 +16,11 @@ def single(elements: DataFrame) -> DataFrame:
     return elements.where(F.col("id").isNotNull()).groupBy("id").agg(F.max(F.struct("loaded_at", *rest)).alias("r")).select("id", *[F.col(f"r.{c}").alias(c) for c in rest])
 
 
-def raw_items(spark: SparkSession, d: str) -> DataFrame:
-    """Page items of canonical_elements in reading order (schema.RAW_ITEM)."""
+def raw_items(spark: SparkSession, d: str, ordered: bool = True) -> DataFrame:
+    """Page items of canonical_elements in reading order (schema.RAW_ITEM). ordered: whether they get positions, which
+    counts over all items don't need."""
     e = single(table(spark, d, "canonical_elements").select("id", "document_id", "reading_order", "text", "heading_level", "provenance", "metadata", "loaded_at"))
-    placed = with_ordinal(checkpoint(e), ["document_id"], "reading_order", ["id"], "n")
+    placed = with_ordinal(checkpoint(e), ["document_id"], "reading_order", ["id"], "n") if ordered else e.withColumn("n", F.lit(None).cast("bigint"))
     return placed.select(F.col("document_id").alias("doc_key"), (F.col("n") - 1).alias("pos"), F.col("metadata.docling_label").alias("label"), "text", F.col("heading_level").alias("level"), F.col("metadata.traversal_level").alias("traversal_level"), F.col("provenance").alias("prov"))
 
 
@@ -27,7 +28,7 @@ def delivered(spark: SparkSession, d: str) -> DataFrame:
     """canonical_elements as delivered, repeated rows included, with their list position."""
     e = table(spark, d, "canonical_elements").withColumn("at", F.coalesce(F.col("loaded_at").cast("timestamp"), F.lit("1900-01-01 00:00:00").cast("timestamp")))
     narrow = e.select("document_id", "id", "type", "text", "reading_order", "parent_id", "heading_level", "provenance", "at")
-    return with_ordinal(narrow, ["document_id"], "reading_order", ["id", "at"], "n").withColumn("pos", F.col("n") - 1).drop("n", "at")
+    return checkpoint(with_ordinal(narrow, ["document_id"], "reading_order", ["id", "at"], "n").withColumn("pos", F.col("n") - 1).drop("n", "at"))
 
 
 def page_counts(spark: SparkSession, d: str) -> DataFrame:

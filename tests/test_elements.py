@@ -13,33 +13,34 @@ from docstrata.schema import ELEMENT_TYPES, LABEL_TYPES, RAW_ITEM, TYPE_CODES
 
 
 def model(items, min_pages=3):
-    """items: dicts of one document in order."""
-    pages = {}
-    for x in items:
-        t = (x["text"] or "").strip()
-        for p in x["prov"] or []:
-            if t:
-                pages.setdefault(t, set()).add(p["page"])
-    often = {t for t, p in pages.items() if len(p) >= min_pages}
-    out, count, stack = [], {}, []
-    for x in items:
-        lab, t = (x["label"] or "other").lower(), (x["text"] or "").strip()
-        kind = LABEL_TYPES.get(lab, "other")
-        if t in often:
-            kind = "footer" if re.search(r"page\s+\d+", t, re.I) else kind if kind in ("header", "footer") else "header"
-        level = 1 if lab == "title" else max(1, x["level"] if x["level"] is not None else x["traversal_level"]) if lab == "section_header" else None
-        page = x["prov"][0]["page"] if x["prov"] else 1
-        code = TYPE_CODES.get(kind, "obj")
-        count[page, code] = count.get((page, code), 0) + 1
-        ident = f"{x['doc_key']}_p{page:03d}_{code}_{count[page, code]:03d}"
-        if kind == "heading":
-            while stack and stack[-1][0] >= level:
-                stack.pop()
-        row = (ident, kind, t, level, stack[-1][1] if stack else None, [s[2] for s in stack])
-        if kind == "heading":
-            stack.append((level, ident, t))
-        out.append(row)
-    return out
+    """What every item of one document must become, each found by looking at all others. items: dicts in order."""
+    text = [(x["text"] or "").strip() for x in items]
+    label = [(x["label"] or "other").lower() for x in items]
+    page = [next((p["page"] for p in x["prov"] or []), 1) for x in items]
+
+    def repeated(t):
+        return bool(t) and len({p["page"] for u, x in zip(text, items) if u == t for p in x["prov"] or []}) >= min_pages
+
+    def kind(n):
+        own = LABEL_TYPES.get(label[n], "other")
+        if not repeated(text[n]) or own in ("header", "footer") and not re.search(r"page\s+\d+", text[n], re.I):
+            return own
+        return "footer" if re.search(r"page\s+\d+", text[n], re.I) else "header"
+
+    kinds = [kind(n) for n in range(len(items))]
+    code = [TYPE_CODES.get(k, "obj") for k in kinds]
+    level = [{"title": 1, "section_header": max(1, x["traversal_level"] if x["level"] is None else x["level"])}.get(lab) for lab, x in zip(label, items)]
+
+    def above(n):
+        """The nearest earlier heading of a smaller level (any, for what is no heading itself)."""
+        return next((m for m in range(n - 1, -1, -1) if kinds[m] == "heading" and (kinds[n] != "heading" or level[m] < level[n])), None)
+
+    def path(n):
+        m = above(n)
+        return [] if m is None else [*path(m), text[m]]
+
+    ids = [f"{x['doc_key']}_p{page[n]:03d}_{code[n]}_{sum((page[m], code[m]) == (page[n], code[n]) for m in range(n + 1)):03d}" for n, x in enumerate(items)]
+    return [(ids[n], kinds[n], text[n], level[n], None if above(n) is None else ids[above(n)], path(n)) for n in range(len(items))]
 
 
 @pytest.mark.parametrize("block", [4, 4096])
