@@ -24,6 +24,7 @@ counts as the document ''; an empty table: no rows. Other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -32,7 +33,7 @@ from pyspark.sql import functions as F
 from docstrata.runtime import checkpoint
 
 BLOCK_ROWS = 4096
-LOCAL_SCHEMA = "document_id string, id string, root string, off bigint, exit string, local_path array<string>, state string"
+LOCAL_SCHEMA = "document_id string, id string, root string, off bigint, exit string, local_path array<string>, state string, below bigint"
 STATES = ("", "cycle", "below_cycle")
 
 
@@ -85,11 +86,15 @@ def _solve(rows: dict[str, list]) -> pa.RecordBatch:
     for i in sorted(range(len(ids)), key=off.__getitem__):
         if not flag[i]:
             paths[i] = [ids[i]] if parents[i] < 0 else [*paths[parents[i]], ids[i]]
+    below = [0] * len(ids)
+    for i in sorted(range(len(ids)), key=off.__getitem__, reverse=True):
+        if not flag[i] and parents[i] >= 0:
+            below[parents[i]] += below[i] + 1
     out = {
         "document_id": doc, "id": ids, "root": [ids[r] for r in root], "off": off,
-        "exit": [None if f else parent[r] for r, f in zip(root, flag)], "local_path": paths, "state": [STATES[f] for f in flag],
+        "exit": [None if f else parent[r] for r, f in zip(root, flag)], "local_path": paths, "state": [STATES[f] for f in flag], "below": below,
     }
-    types = {"off": pa.int64(), "local_path": pa.list_(pa.string())}
+    types = {"off": pa.int64(), "below": pa.int64(), "local_path": pa.list_(pa.string())}
     return pa.RecordBatch.from_arrays([pa.array(v, types.get(k, pa.string())) for k, v in out.items()], names=list(out))
 
 
@@ -139,22 +144,25 @@ def contracted(local: DataFrame) -> DataFrame:
 
 def resolve(links: DataFrame) -> DataFrame:
     """Merge the contracted forests: every round doubles the span of an open link. No chain of
-    a document is longer than its number of contracted roots."""
+    a document is longer than its number of contracted roots. Rows that are closed are written once."""
     current, rounds = links.select("document_id", "root", "top", "dist", "state"), 0
-    open_ = F.col("state").isNull()
-    span = current.where(open_).groupBy("document_id").count().agg(F.max("count")).first()[0] or 0
+    is_open = F.col("state").isNull()
+    span = current.where(is_open).groupBy("document_id").count().agg(F.max("count")).first()[0] or 0
+    closed, open_ = [current.where(~is_open)], current.where(is_open)
     left = span
     while left and (1 << rounds) <= span:
-        nxt = current.select("document_id", F.col("root").alias("top"), F.col("top").alias("n_top"), F.col("dist").alias("n_dist"), F.col("state").alias("n_state"))
-        moved = current.where(open_).join(nxt, ["document_id", "top"]).select(
+        nxt = reduce(DataFrame.unionByName, [*closed, open_]).select("document_id", F.col("root").alias("top"), F.col("top").alias("n_top"), F.col("dist").alias("n_dist"), F.col("state").alias("n_state"))
+        moved = checkpoint(open_.join(nxt, ["document_id", "top"]).select(
             "document_id", "root", F.col("n_top").alias("top"), (F.col("dist") + F.col("n_dist")).alias("dist"),
             F.when(F.col("n_state") == "dangling", "").otherwise(F.col("n_state")).alias("state"),
-        )
-        current = checkpoint(current.where(~open_).unionByName(moved))
+        ))
+        closed.append(moved.where(~is_open))
+        open_ = moved.where(is_open)
         rounds += 1
-        left = current.where(open_).count()
+        left = open_.count()
+    current = reduce(DataFrame.unionByName, [*closed, open_])
     if left:  # after that many steps the top of each lies on a cycle, and each of a cycle is a top
-        on = current.where(open_).select("document_id", F.col("top").alias("root"), F.lit("cycle").alias("on")).distinct()
+        on = open_.select("document_id", F.col("top").alias("root"), F.lit("cycle").alias("on")).distinct()
         current = current.join(on, ["document_id", "root"], "left").withColumn("state", F.coalesce("state", "on", F.lit("below_cycle"))).drop("on")
     return current
 
@@ -164,12 +172,15 @@ def prefixes(local: DataFrame, links: DataFrame, done: DataFrame) -> DataFrame:
     contracted root hangs from, put together by doubling as well."""
     sound = done.where(F.col("state") == "").select("document_id", "root")
     target = local.select("document_id", F.col("id").alias("to"), F.col("root").alias("next"), F.col("local_path").alias("prefix"))
-    current = checkpoint(links.join(sound, ["document_id", "root"], "left_semi").join(target, ["document_id", "to"]).select("document_id", "root", "next", "prefix"))
+    open_ = checkpoint(links.join(sound, ["document_id", "root"], "left_semi").join(target, ["document_id", "to"]).select("document_id", "root", "next", "prefix"))
+    closed: list[DataFrame] = []
     while True:
-        above = current.select("document_id", F.col("root").alias("next"), F.col("next").alias("n_next"), F.col("prefix").alias("n_prefix"))
-        current = checkpoint(current.join(above, ["document_id", "next"], "left").select("document_id", "root", F.col("n_next").alias("next"), F.when(F.col("n_prefix").isNotNull(), F.concat("n_prefix", "prefix")).otherwise(F.col("prefix")).alias("prefix")))
-        if current.where(F.col("next").isNotNull()).isEmpty():
-            return current.drop("next")
+        above = reduce(DataFrame.unionByName, [*closed, open_]).select("document_id", F.col("root").alias("next"), F.col("next").alias("n_next"), F.col("prefix").alias("n_prefix"))
+        moved = checkpoint(open_.join(above, ["document_id", "next"], "left").select("document_id", "root", F.col("n_next").alias("next"), F.when(F.col("n_prefix").isNotNull(), F.concat("n_prefix", "prefix")).otherwise(F.col("prefix")).alias("prefix")))
+        closed.append(moved.where(F.col("next").isNull()))
+        open_ = moved.where(F.col("next").isNotNull())
+        if open_.isEmpty():
+            return reduce(DataFrame.unionByName, closed).drop("next")
 
 
 def solve(elements: DataFrame, block_rows: int = BLOCK_ROWS) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -197,20 +208,32 @@ def link_states(elements: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     return _states(*solve(elements, block_rows)).select(F.col("id").alias("element_id"), "link_state").distinct()
 
 
-def trees(elements: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def trees(elements: DataFrame, block_rows: int = BLOCK_ROWS, counts: bool = False) -> DataFrame:
     """One row per element: document_id, element_id, root_id, depth, path (array of ids from
     the root), link_state (null if sound). A dangling element is the root of what is below
-    it. On or below a cycle, root_id, depth and path are null."""
+    it. On or below a cycle, root_id, depth and path are null. counts: also n_descendants.
+
+    Descendants are counted from below: inside a block by the block's own forest; what hangs from
+    another block is added once per local tree to each node above it, never once per node."""
     local, links, done = solve(elements, block_rows)
     up = done.select("document_id", "root", "top", "dist")
-    full = local.join(up, ["document_id", "root"], "left").join(prefixes(local, links, done), ["document_id", "root"], "left").join(_states(local, links, done), ["document_id", "id"], "left")
+    above = prefixes(local, links, done)
+    if counts:
+        above = checkpoint(above)
+    full = local.join(up, ["document_id", "root"], "left").join(above, ["document_id", "root"], "left").join(_states(local, links, done), ["document_id", "id"], "left")
     sound = ~F.coalesce(F.col("link_state").isin("cycle", "below_cycle"), F.lit(False))
+    n = []
+    if counts:
+        sizes = local.where(F.col("id") == F.col("root")).select("document_id", "root", (F.col("below") + 1).alias("size"))
+        hung = above.join(sizes, ["document_id", "root"]).select("document_id", F.explode("prefix").alias("id"), "size").groupBy("document_id", "id").agg(F.sum("size").alias("hung"))
+        full = full.join(hung, ["document_id", "id"], "left")
+        n = [F.when(sound, F.col("below") + F.coalesce("hung", F.lit(0))).alias("n_descendants")]
     return full.select(
         "document_id", F.col("id").alias("element_id"),
         F.when(sound, F.coalesce("top", "root")).alias("root_id"),
         F.when(sound, F.col("off") + F.coalesce("dist", F.lit(0))).alias("depth"),
         F.when(sound, F.concat(F.coalesce("prefix", F.array().cast("array<string>")), "local_path")).alias("path"),
-        "link_state",
+        "link_state", *n,
     )
 
 
@@ -219,10 +242,3 @@ def descendants(tree: DataFrame) -> DataFrame:
     it (the closure; its size is the sum of depths)."""
     at = tree.where(F.col("depth") > 0).select("document_id", F.col("element_id").alias("descendant_id"), "depth", F.posexplode("path").alias("k", "ancestor_id"))
     return at.where(F.col("k") < F.col("depth")).select("document_id", "ancestor_id", "descendant_id", (F.col("depth") - F.col("k")).alias("distance"))
-
-
-def with_descendant_counts(tree: DataFrame) -> DataFrame:
-    """trees() plus n_descendants (null on or below a cycle)."""
-    n = descendants(tree).groupBy("document_id", F.col("ancestor_id").alias("element_id")).agg(F.count("*").alias("n_descendants"))
-    joined = tree.join(n, ["document_id", "element_id"], "left")
-    return joined.withColumn("n_descendants", F.when(F.col("depth").isNotNull(), F.coalesce("n_descendants", F.lit(0))))

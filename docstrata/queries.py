@@ -78,7 +78,7 @@ def p7_found(spark: SparkSession, d: str) -> DataFrame:
 @query
 def p7_trees(spark: SparkSession, d: str) -> DataFrame:
     """Root, depth, path and number of descendants of every element."""
-    tree = hierarchy.with_descendant_counts(hierarchy.trees(table(spark, d, "canonical_elements")))
+    tree = hierarchy.trees(table(spark, d, "canonical_elements"), counts=True)
     return tree.select("document_id", "element_id", "root_id", "depth", F.array_join("path", "/").alias("path"), "n_descendants", "link_state")
 
 

@@ -7,7 +7,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 _owned: set[str] = set()
@@ -44,13 +43,19 @@ def checkpoint(df: DataFrame, partitions: int | None = None) -> DataFrame:
         folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(folder)
     path = f"{root}/{uuid.uuid4().hex}.parquet"
     (df.coalesce(partitions) if partitions else df).write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    stored = spark.read.schema(df.schema).parquet(path)
+    stored._stored_at = path
+    return stored
 
 
-def shuffle_partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+def release(df: DataFrame) -> None:
+    """Delete the table behind a checkpoint that no later plan reads (a finished round of an iteration). Other frames
+    are left alone."""
+    path = getattr(df, "_stored_at", None)
+    if path:
+        folder = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-def nonblank(c):
-    """Null-safe test for a string with any non-space character."""
-    return F.length(F.trim(F.coalesce(c, F.lit("")))) > 0
+def shuffle_partitions(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))

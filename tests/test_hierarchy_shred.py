@@ -41,7 +41,7 @@ def test_random_forests(spark, block):
     states, paths = truth(rows)
     df = spark.createDataFrame(rows + rows[:7], ROW)
     assert {tuple(r) for r in hierarchy.link_states(df, block).collect()} == states
-    tree = hierarchy.with_descendant_counts(hierarchy.trees(df, block)).collect()
+    tree = hierarchy.trees(df, block, counts=True).collect()
     assert {r.element_id: r.path for r in tree if r.path is not None} == paths
     assert all(r.depth == len(r.path) - 1 and r.root_id == r.path[0] for r in tree if r.path is not None)
     below = {k: sum(k in p[:-1] for p in paths.values()) for k in paths}
