@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docstrata.runtime import checkpoint
+from docstrata.runtime import checkpoint, release
 
 
 def _union_find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -44,11 +44,13 @@ def components(pairs: DataFrame) -> DataFrame:
     member = links.select(F.col("a").alias("node"), F.col("a").alias("root")).unionAll(links.select("b", "b")).distinct()
     while True:
         both = links.select("a", "b").unionAll(links.select(F.col("b"), F.col("a")))
+        old = (links, member)
         hook = checkpoint(both.groupBy(F.col("a").alias("root")).agg(F.least(F.min("b"), F.first("a")).alias("up")))
         member = checkpoint(member.join(hook, "root", "left").select("node", F.coalesce("up", "root").alias("root")))
         up = hook.select(F.col("root").alias("k"), "up")
         links = links.join(up, links.a == up.k).select(F.col("up").alias("a"), "b").join(up.select(F.col("k").alias("k2"), F.col("up").alias("up2")), F.col("b") == F.col("k2")).select("a", F.col("up2").alias("b"))
         links = checkpoint(links.where(F.col("a") != F.col("b")).distinct().mapInArrow(_union_find, "a string, b string"))
+        for done in (*old, hook):
+            release(done)
         if links.isEmpty():
-            break
-    return member
+            return member

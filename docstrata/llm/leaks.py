@@ -5,9 +5,10 @@ texts that share WINDOW + K - 1 = 13 words in a row share a window, hence a fing
 the join of corpus and test fingerprints misses no such span. Each hit is then extended
 word by word to both sides and kept when 13 words in a row agree.
 
-The test items are the query set: their fingerprints go to the executors in blocks of at
-most BLOCK_WORDS words, each block against all documents, so what is sent at once is bounded
-however many items there are. The corpus is scanned, never shuffled; an item that leaked
+The test items are the query set: their fingerprints are made once and go to the executors in blocks
+of at most BLOCK_WORDS words, each block against all documents. Of several blocks one is matched and its
+hits are written before the next is read, so what is held and sent at once is bounded however many
+items there are. The corpus is scanned, never shuffled; an item that leaked
 into a third of all documents costs each of those documents its own hit and no more.
 
 Results: words are runs of letters and digits in lower case; a backslash and the letters
@@ -22,10 +23,12 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docstrata.llm import vec
+from docstrata.runtime import checkpoint
 
 SPAN = 13
 K = 7
@@ -48,13 +51,16 @@ def fingerprints(h: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray
 class Items:
     """Word hashes of the test items of a block and their fingerprints, sorted by hash."""
 
-    def __init__(self, ids: list, texts: pa.Array):
-        self.ids = ids
+    def __init__(self, ids: list, h: np.ndarray, row: np.ndarray, fp: np.ndarray, at: np.ndarray):
+        self.ids, self.h, self.row, self.fp, self.at = ids, h, row, fp, at
+
+    @classmethod
+    def of(cls, ids: list, texts: pa.Array) -> Items:
         cp, starts = vec.codepoints(texts)
-        self.h, self.row, _, _ = vec.words(cp, starts, commands=True)
-        fp, at = fingerprints(self.h, self.row)
+        h, row, _, _ = vec.words(cp, starts, commands=True)
+        fp, at = fingerprints(h, row)
         order = np.argsort(fp, kind="stable")
-        self.fp, self.at = fp[order], at[order]
+        return cls(ids, h, row.astype(np.int32), fp[order], at[order])
 
     def matches(self, h: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(text index, item index) of texts that share SPAN words in a row with an item."""
@@ -81,7 +87,7 @@ class Items:
 
 def _scan(shared, schema_names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        items: Items = Items(*shared.value)
+        items: Items = shared.value
         item_ids = pa.array(items.ids, pa.int64())
         for whole in batches:
             for i in range(0, whole.num_rows, CHUNK_ROWS):
@@ -104,9 +110,17 @@ def leaks(documents: DataFrame, items: DataFrame, block_words: int = BLOCK_WORDS
     size = test.agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = max(1, -(-size // (2 * block_words)))  # a word takes two characters at least
     docs = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    def hits(b: int) -> tuple[DataFrame, Broadcast]:
+        block = test.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == b).toArrow()
+        texts = block.column("text").combine_chunks() if block.num_rows else pa.array([], pa.string())
+        shared = spark.sparkContext.broadcast(Items.of(block.column("item_id").to_pylist(), texts))
+        return docs.mapInArrow(_scan(shared, ["doc_id", "item_id"]), "doc_id bigint, item_id bigint"), shared
+
+    if blocks == 1:
+        return hits(0)[0].distinct()
     parts = []
     for b in range(blocks):
-        block = test.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == b).toArrow()
-        shared = spark.sparkContext.broadcast((block.column("item_id").to_pylist(), block.column("text").combine_chunks() if block.num_rows else pa.array([], pa.string())))
-        parts.append(docs.mapInArrow(_scan(shared, ["doc_id", "item_id"]), "doc_id bigint, item_id bigint"))
-    return reduce(DataFrame.unionAll, parts).distinct()
+        found, shared = hits(b)
+        parts.append(checkpoint(found.distinct()))
+        shared.destroy()
+    return reduce(DataFrame.unionAll, parts)

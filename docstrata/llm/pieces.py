@@ -23,6 +23,7 @@ reading_order are in no section.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from itertools import accumulate
@@ -31,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from docstrata.runtime import checkpoint
+from docstrata.runtime import checkpoint, shuffle_partitions
 
 ELEMENT_LIMIT = 1200
 SECTION_LIMIT = 5000
@@ -56,49 +57,45 @@ def depths(sentences: list[Counter]) -> list[float]:
             right.update(c)
         norm = (sum(v * v for v in left.values()) * sum(v * v for v in right.values())) ** 0.5
         score.append(sum(v * right[w] for w, v in left.items()) / norm if norm else 0.0)
-    out = []
-    for i, s in enumerate(score):
-        a = b = s
-        for x in reversed(score[:i]):
-            if x < a:
-                break
-            a = x
-        for x in score[i + 1 :]:
-            if x < b:
-                break
-            b = x
-        out.append(a - s + b - s)
-    return out
-
-
-def cut(text: str, limit: int, overlap: int = OVERLAP) -> list[tuple[int, int, int]]:
-    """(start of the overlap, start, end) of each piece; starts and ends cover the text."""
-    if len(text) <= limit:
+    # The peak on a side is reached by climbing from gap to gap as long as it doesn't go down.
+    left, right = list(score), list(score)
+    for i in range(1, len(score)):
+        if score[i - 1] >= score[i]:
+            left[i] = left[i - 1]
+    for i in range(len(score) - 2, -1, -1):
+        if score[i + 1] >= score[i]:
+            right[i] = right[i + 1]
+    return [a - s + b - s for a, s, b in zip(left, score, right)]
+
+
+def cut(text: str, limit: int, overlap: int = OVERLAP, lead: int = 0) -> list[tuple[int, int, int]]:
+    """(start of the overlap, start, end) of each piece; starts and ends cover the text. lead: characters that
+    the first piece gets before its own from elsewhere."""
+    if len(text) + lead <= limit:
         return [(0, 0, len(text))]
     bounds = [m.end() for m in SENTENCE.finditer(text)]
     ends = sorted({*bounds, len(text)})
     words = [Counter(w.lower() for w in WORD.findall(text[a:b])) for a, b in zip([0, *ends], ends)]
     depth = dict(zip(ends, depths(words)))
-    lines = {m.end() for m in re.finditer(r"\n", text)}
-    out, at, first = [], 0, 0
+    lines = [m.end() for m in re.finditer(r"\n", text)]
+    out, at = [], 0
     while at < len(text):
         back = at
         if at:
             back = max(at - overlap, 0)
             space = text.find(" ", back, at)  # the overlap begins with a whole word
             back = space + 1 if 0 <= space < at - 1 else back
-        most = limit - (at - back)
+        most = limit - ((at - back) if at else lead)
         if len(text) - at <= most:
             out.append((back, at, len(text)))
             break
-        while first < len(ends) and ends[first] <= at:
-            first += 1
-        near = [e for e in ends[first:] if e <= at + most]
-        window = [e for e in near if e >= at + FILL * most] or near[-1:]
+        near = ends[bisect_right(ends, at) : bisect_right(ends, at + most)]
+        window = near[bisect_left(near, at + FILL * most) :] or near[-1:]
         if window:
             best = max(window, key=lambda e: (round(depth.get(e, 0.0), 9), e))
         else:
-            line = max((e for e in lines if at < e <= at + most), default=0)
+            k = bisect_right(lines, at + most)
+            line = lines[k - 1] if k and lines[k - 1] > at else 0
             best = line or text.rfind(" ", at + 1, at + most) + 1 or at + most
             if best <= at:
                 best = at + most
@@ -117,7 +114,7 @@ def _cut_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: dict[str, list] = {k: [] for k in names}
         for kind, item, limit, stretch, lead, text in zip(*(c.to_pylist() for c in batch.columns)):
             # lead: the end of the text before, for the overlap of the first piece
-            parts = cut(text, limit - len(lead))
+            parts = cut(text, limit, lead=len(lead))
             for i, (back, a, b) in enumerate(parts):
                 head = lead if not i else text[back:a]
                 for k, v in zip(names, (kind, item, stretch, i, len(head), head + text[a:b])):
@@ -162,9 +159,14 @@ def oversized(elements: DataFrame) -> DataFrame:
     return one.unionAll(whole.select(F.lit("section"), "section_id", F.lit(SECTION_LIMIT), F.col("block"), "lead", "text"))
 
 
+def _spread(items: DataFrame) -> DataFrame:
+    """Cutting is work by the character, so the items are dealt to more tasks than their bytes would get."""
+    return items.repartition(4 * shuffle_partitions(items.sparkSession), "item_id", "stretch")
+
+
 def pieces(elements: DataFrame) -> DataFrame:
     """item_kind, item_id, piece (0-based), n_pieces, overlap (characters repeated), text."""
-    cut_up = checkpoint(oversized(elements).repartition("item_id", "stretch").mapInArrow(_cut_all, PIECES))
+    cut_up = checkpoint(_spread(oversized(elements)).mapInArrow(_cut_all, PIECES))
     order = Window.partitionBy("item_kind", "item_id").orderBy("stretch")
     n = cut_up.groupBy("item_kind", "item_id", "stretch").agg(F.count("*").alias("n"))
     n = n.select("item_kind", "item_id", "stretch", (F.sum("n").over(order) - F.col("n")).alias("before"), F.sum("n").over(Window.partitionBy("item_kind", "item_id")).alias("n_pieces"))
@@ -173,5 +175,5 @@ def pieces(elements: DataFrame) -> DataFrame:
 
 def found(elements: DataFrame) -> DataFrame:
     """item_kind, item_id of the items cut into more than one piece."""
-    cut_up = oversized(elements).repartition("item_id", "stretch").mapInArrow(_cut_all, PIECES)
+    cut_up = _spread(oversized(elements)).mapInArrow(_cut_all, PIECES)
     return cut_up.groupBy("item_kind", "item_id").agg(F.count("*").alias("n")).where(F.col("n") > 1).select("item_kind", "item_id")
