@@ -1,25 +1,38 @@
-"""Command line: inspect, run, evaluate, compare-tables."""
+"""Command line: inspect, run, baseline, run-all, extract-images, evaluate, compare-tables."""
 
 from __future__ import annotations
 
 import argparse
+import importlib
+import os
 import sys
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+COMMANDS = {
+    "inspect": ["source"], "run": ["docs", "items", "output"], "baseline": ["source", "output"], "run-all": ["source", "output"], "extract-images": ["source", "output"],
+    "evaluate": ["documents"], "compare-tables": ["output"],
+}
+FROM_SOURCES = ("baseline", "run-all", "extract-images")
+
 
 def main(argv: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="docstrata")
     sub = p.add_subparsers(dest="command", required=True)
-    for name, args in {"inspect": ["source"], "run": ["docs", "items", "output"], "evaluate": ["documents"], "compare-tables": ["output"]}.items():
+    for name, args in COMMANDS.items():
         s = sub.add_parser(name)
         for a in args:
             s.add_argument(a)
         s.add_argument("--config")
+        if name in FROM_SOURCES:
+            s.add_argument("--converter", required=True, metavar="MODULE:FUNCTION", help="called with path, content and options of each file")
         if name == "compare-tables":
             s.add_argument("--run", action="append", required=True, metavar="NAME=INDEX_JSON")
     a = p.parse_args(argv)
+    source = getattr(a, "source", None)
+    if source and "://" not in source and not any(c in source for c in "*?[{") and not os.path.exists(source):
+        p.error(f"no such file: {source}")
     from docstrata.config import Config
     from docstrata.operators import tables
     from docstrata.plans import pipeline
@@ -29,6 +42,11 @@ def main(argv: list[str] | None = None) -> int:
     config = Config.from_yaml(a.config) if a.config else Config()
     if a.command == "inspect":
         readers.inspect(spark, a.source).show(truncate=False)
+    elif a.command in FROM_SOURCES:
+        module, _, name = a.converter.partition(":")
+        result, folders = pipeline.run_sources(spark, a.source, getattr(importlib.import_module(module), name), a.output, config)
+        for folder in folders:
+            print(os.path.join(folder, "images") if a.command == "extract-images" else folder)
     elif a.command == "run":
         r = pipeline.run(spark.read.parquet(a.docs), spark.read.parquet(a.items), config)
         for name in ("elements", "children", "roots", "chunks", "findings", "report"):

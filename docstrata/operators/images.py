@@ -11,7 +11,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docstrata.functions import scalars as S
@@ -67,6 +67,51 @@ def pixel_statistics(gray: np.ndarray, rgb: np.ndarray) -> tuple[float, int]:
     return float((edges > 40).mean()), len(np.unique(sample.reshape(-1, 3), axis=0))
 
 
+def described(found: DataFrame) -> DataFrame:
+    """deduplicated() plus kind, complexity, confidence and reasons of pictures with rgb (three bytes a pixel, by rows), width
+    and height; computed once per first occurrence and shared by its duplicates. Without pixels: 'unknown', no reasons."""
+    rows = deduplicated(found)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            edges, colors = [], []
+            for raw, w, h in zip(*(c.to_pylist() for c in b.columns[1:])):
+                whole = raw is not None and w and h and len(raw) == 3 * w * h
+                rgb = np.frombuffer(raw, np.uint8).reshape(h, w, 3) if whole else None
+                e, c = pixel_statistics((rgb @ np.array([0.299, 0.587, 0.114])).astype(np.uint8), rgb) if whole else (None, None)
+                edges.append(e)
+                colors.append(c)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), b.column(3), pa.array(edges, pa.float64()), pa.array(colors, pa.int32())], names=["first_id", "width", "height", "edge_density", "color_count"])
+
+    firsts = rows.where(~F.col("is_duplicate")).select(F.col("occurrence_id").alias("first_id"), "rgb", "width", "height")
+    known = classified(firsts.mapInArrow(run, "first_id string, width int, height int, edge_density double, color_count int"))
+    seen = F.col("edge_density").isNotNull()
+    known = known.select("first_id", F.when(seen, F.col("kind")).otherwise("unknown").alias("kind"), F.when(seen, F.col("complexity")).otherwise("simple").alias("complexity"), F.when(seen, F.col("confidence")).alias("confidence"), F.when(seen, F.col("reasons")).alias("reasons"))
+    return rows.join(known, "first_id", "left")
+
+
+def first_ids(rows: DataFrame) -> DataFrame:
+    """doc_key, image_hash, first_id: the map from hashes to the first picture, as rows."""
+    return rows.where(~F.col("is_duplicate")).select("doc_key", "image_hash", "first_id")
+
+
+#: The texts that stand for a missing answer.
+NO_CANDIDATES, EMPTY_ANSWER = "[caption generation returned no candidates]", "[caption generation returned empty response]"
+ANSWER = "candidates array<struct<content:struct<parts:array<struct<text:string>>>>>"
+
+
+def answer_text(answer: Column) -> Column:
+    """The text of a caption service's JSON answer: the parts of its first candidate, or a fixed text without any."""
+    first = F.try_element_at(F.from_json(answer, ANSWER)["candidates"], F.lit(1))
+    text = S.strip(F.array_join(F.transform(first["content"]["parts"], lambda p: F.coalesce(p["text"], F.lit(""))), ""))
+    return F.when(first.isNull(), NO_CANDIDATES).when(F.coalesce(text, F.lit("")) == "", EMPTY_ANSWER).otherwise(text)
+
+
+def payload(content: Column) -> Column:
+    """A picture's bytes as a service takes them."""
+    return F.base64(content)
+
+
 FAILED = "[caption unavailable]"
 
 

@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from functools import reduce
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -52,15 +51,6 @@ def quality(tables: DataFrame, keys: tuple[str, ...] = ("id",)) -> DataFrame:
     )
 
 
-def exact_fill_ratio(occupied: Column, slots: Column) -> Column:
-    """The ratio rounded as Python's round does it (half to even on the binary value)."""
-    @F.pandas_udf("double")
-    def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-        return pd.Series([round(min(1.0, x / max(1, y)), 4) for x, y in zip(a, b)])
-
-    return ratio(occupied, slots)
-
-
 def compare(runs: dict[str, DataFrame]) -> DataFrame:
     """Quality of the tables of several runs, one below the other; run is the given name."""
     parts = [quality(t).select(F.lit(name).alias("run"), F.col("id").alias("table_id"), "num_rows", "num_columns", "n_cells", "fill_ratio", "header_cells", "spanning_cells") for name, t in runs.items()]

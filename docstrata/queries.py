@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from docstrata.config import Thresholds
 from docstrata.functions import scalars as S
 from docstrata.operators import elements as E
 from docstrata.operators import hierarchy, images, qa, shred, tables
@@ -153,18 +154,29 @@ def bbox_invalid(spark: SparkSession, d: str) -> DataFrame:
     return E.box_findings(A.single(table(spark, d, "canonical_elements").select("id", "document_id", "provenance", "loaded_at")))
 
 
-@query
-def tables_extracted(spark: SparkSession, d: str) -> DataFrame:
-    """Ids of the latest tables, counted per page again."""
+def _extracted(spark: SparkSession, d: str) -> DataFrame:
     raw = A.latest_tables(spark, d).select(
         F.col("document_id").alias("doc_key"), F.col("id").alias("pos"), F.transform(F.array("page"), lambda p: F.struct(p.alias("page"), F.lit(None).cast(BBOX).alias("bbox"))).alias("prov"),
         F.transform(F.filter("cells", lambda c: c.isNotNull()), lambda c: F.struct(c["row"].alias("start_row"), (c["row"] + F.coalesce(c["row_span"], F.lit(1))).alias("end_row"), c["column"].alias("start_col"), (c["column"] + F.coalesce(c["column_span"], F.lit(1))).alias("end_col"), c["text"].alias("text"), c["is_header"].alias("column_header"), F.lit(False).alias("row_header"))).alias("cells"),
         "num_rows", F.col("num_columns").alias("num_cols"),
     )
-    t = tables.extract(raw, "adapter")
+    return tables.extract(raw, "adapter")
+
+
+@query
+def tables_extracted(spark: SparkSession, d: str) -> DataFrame:
+    """Ids of the latest tables, counted per page again."""
+    t = _extracted(spark, d)
     return t.select("id", "document_id", "page", "num_rows", "num_columns", F.when(F.col("cells").isNull(), 0).otherwise(F.size("cells")).alias("n_cells"))
 
 
+@query
+def tables_cells(spark: SparkSession, d: str) -> DataFrame:
+    """Every cell of the extracted tables with its span and header flag."""
+    at = _extracted(spark, d).select(F.col("id").alias("table_id"), F.posexplode("cells").alias("cell_pos", "c"))
+    return at.select("table_id", "cell_pos", "c.*")
+
+
 @query
 def table_quality(spark: SparkSession, d: str) -> DataFrame:
     return tables.quality(A.latest_tables(spark, d))
@@ -172,9 +184,10 @@ def table_quality(spark: SparkSession, d: str) -> DataFrame:
 
 @query
 def table_comparison(spark: SparkSession, d: str) -> DataFrame:
-    """Quality by run, a run being a method of extraction."""
-    q = tables.quality(A.latest_tables(spark, d), ("method", "id"))
-    return q.select(F.coalesce("method", F.lit("")).alias("run"), F.col("id").alias("table_id"), "num_rows", "num_columns", "n_cells", "fill_ratio", "header_cells", "spanning_cells")
+    """Quality by run, a run being a method of extraction (a handful of names)."""
+    latest = checkpoint(A.latest_tables(spark, d).withColumn("method", F.coalesce("method", F.lit(""))))
+    runs = sorted(r[0] for r in latest.select("method").distinct().collect()) or [""]
+    return tables.compare({run: latest.where(F.col("method") == run) for run in runs})
 
 
 @query
@@ -193,6 +206,12 @@ def image_hash_summary(spark: SparkSession, d: str) -> DataFrame:
     return images.hash_summary(images.deduplicated(images.occurrences(A.raw_pictures(spark, d))))
 
 
+@query
+def image_first_ids(spark: SparkSession, d: str) -> DataFrame:
+    """The map from hashes to the first picture of each document, as rows."""
+    return images.first_ids(images.deduplicated(images.occurrences(A.raw_pictures(spark, d))))
+
+
 @query
 def image_kind(spark: SparkSession, d: str) -> DataFrame:
     """Vectors stand for pictures: the share of large components for edges, ids for sizes."""
@@ -238,6 +257,16 @@ def qa_findings(spark: SparkSession, d: str) -> DataFrame:
     return qa.findings(A.delivered(spark, d), A.page_counts(spark, d))
 
 
+EXPECTED_PAGES = 12
+
+
+@query
+def qa_page_count(spark: SparkSession, d: str) -> DataFrame:
+    """Findings of the rules on whole documents where a number of pages is expected."""
+    m = qa.metrics(A.delivered(spark, d), A.page_counts(spark, d))
+    return qa.whole_document(m, Thresholds(expected_pages=EXPECTED_PAGES))
+
+
 @query
 def qa_metrics(spark: SparkSession, d: str) -> DataFrame:
     return qa.metrics(A.delivered(spark, d), A.page_counts(spark, d))
@@ -383,11 +412,13 @@ SELECT document_id, ancestor_id, id AS descendant_id, depth - nth AS distance FR
         "heading_outline": f"{items} SELECT document_id, n, repeat('  ', heading_level - 1) || substring(text, 1, 70) AS line FROM (SELECT *, row_number() OVER (PARTITION BY document_id ORDER BY pos) AS n FROM typed WHERE heading_level IS NOT NULL) WHERE n <= 15",
         "bbox_invalid": "WITH one AS (SELECT id, any_value(document_id) AS document_id, any_value(provenance) AS p FROM canonical_elements WHERE id IS NOT NULL GROUP BY id), b AS (SELECT document_id, id, unnest(p).bbox AS b, generate_subscripts(p, 1) - 1 AS box_pos FROM one) SELECT document_id, id AS element_id, CAST(box_pos AS INT) AS box_pos FROM b WHERE (NOT isnan(b.right) AND NOT isnan(b.left) AND b.right < b.left) OR (NOT isnan(b.top) AND NOT isnan(b.bottom) AND b.top < b.bottom)",
         "tables_extracted": f"{cells} SELECT printf('%s_p%03d_tbl_%03d', lt.document_id, coalesce(page, 1), row_number() OVER (PARTITION BY lt.document_id, coalesce(page, 1) ORDER BY lt.id)) AS id, lt.document_id, coalesce(page, 1) AS page, q.num_rows, q.num_columns, q.n_cells FROM lt JOIN quality q USING (id)",
+        "tables_cells": f"{cells}, ids AS (SELECT id, printf('%s_p%03d_tbl_%03d', document_id, coalesce(page, 1), row_number() OVER (PARTITION BY document_id, coalesce(page, 1) ORDER BY id)) AS table_id, list_filter(cells, lambda x: x IS NOT NULL) AS cells FROM lt), x AS (SELECT table_id, unnest(cells) AS c, generate_subscripts(cells, 1) - 1 AS n FROM ids) SELECT table_id, CAST(n AS INT) AS cell_pos, coalesce(c.text, '') AS text, coalesce(c.row, 0) AS row, coalesce(c.column, 0) AS column, greatest(1, coalesce(c.row_span, 1)) AS row_span, greatest(1, coalesce(c.column_span, 1)) AS column_span, coalesce(c.is_header, false) AS is_header FROM x",
         "table_quality": f"{cells} SELECT id, num_rows, num_columns, n_cells, fill_ratio, header_cells, spanning_cells FROM quality",
         "table_comparison": f"{cells} SELECT method AS run, id AS table_id, num_rows, num_columns, n_cells, fill_ratio, header_cells, spanning_cells FROM quality",
         "image_occurrences": f"{pics} SELECT pos AS image_id, occurrence_id, image_hash FROM occ WHERE image_hash <> ''",
         "image_dedup": f"{pics} SELECT d.occurrence_id, d.first_id, d.occurrence_id <> d.first_id AS is_duplicate, nullif(f.kind, '') AS kind, f.complexity, f.image_path, f.caption FROM dup d JOIN pics f ON f.pos = d.first_pos",
         "image_hash_summary": f"{pics} SELECT doc_key, count(*) AS total_occurrences, count(*) FILTER (WHERE occurrence_id = first_id) AS unique_images, count(*) FILTER (WHERE occurrence_id <> first_id) AS duplicate_occurrences FROM dup GROUP BY doc_key",
+        "image_first_ids": f"{pics} SELECT doc_key, image_hash, first_id FROM dup WHERE occurrence_id = first_id",
         "image_kind": """WITH v AS (SELECT vec_id, len(list_filter(embedding, lambda x: abs(x) > 0.15))::DOUBLE / (len(embedding) + 1) AS e, vec_id * 37 % 9000 AS c, vec_id % 600 AS w, vec_id % 350 AS h FROM embeddings)
 SELECT vec_id, CASE WHEN e > 0.22 AND c < 3000 THEN 'diagram/schematic' WHEN c > 5000 AND e > 0.08 THEN 'photo' WHEN h < 200 AND w < 400 THEN 'logo/icon' WHEN e > 0.14 THEN 'chart' ELSE 'unknown' END AS kind, CASE WHEN e > 0.16 OR c > 7000 THEN 'complex' ELSE 'simple' END AS complexity,
   round(least(0.95::DOUBLE, 0.5::DOUBLE + abs(e - 0.1::DOUBLE) + least(c, 8000)::DOUBLE / 40000), 3) AS confidence, printf('edge_density=%.3f;sampled_colors=%d', e, c) AS reasons FROM v""",
@@ -395,6 +426,7 @@ SELECT vec_id, CASE WHEN e > 0.22 AND c < 3000 THEN 'diagram/schematic' WHEN c >
 SELECT occurrence_id, 'Describe this figure.' || CASE WHEN hints <> '' THEN chr(10) || chr(10) || 'Context:' || chr(10) || hints ELSE '' END AS prompt FROM h""",
         **{name: f"{dl} {sql}" for name, sql in FINDINGS.items()},
         "qa_findings": f"{dl}, {METRICS} {ALL_FINDINGS}",
+        "qa_page_count": f"{dl}, {METRICS} {LOW} UNION ALL SELECT document_id, 'error', 'page_count', 'Expected {EXPECTED_PAGES} pages, got ' || coalesce(CAST(pages AS VARCHAR), 'none'), NULL, NULL FROM m WHERE pages IS DISTINCT FROM {EXPECTED_PAGES}",
         "qa_metrics": f"{dl}, {METRICS} SELECT * FROM m",
         "qa_report": f"{dl}, {METRICS}, f AS ({ALL_FINDINGS}), n AS (SELECT document_id, count(*) FILTER (WHERE severity = 'error') AS errors, count(*) FILTER (WHERE severity = 'warning') AS warnings FROM f GROUP BY document_id) SELECT m.*, coalesce(errors, 0) AS errors, coalesce(warnings, 0) AS warnings, coalesce(errors, 0) = 0 AS passed FROM m LEFT JOIN n USING (document_id)",
         "conversion_runs": "WITH m AS (SELECT DISTINCT run_id, document_id, config_name, status FROM conversion_manifests) SELECT config_name, status, count(*) AS runs, count(DISTINCT document_id) AS documents FROM m GROUP BY ALL",

@@ -18,3 +18,17 @@ CELL = "struct<text:string,row:int,column:int,row_span:int,column_span:int,is_he
 TABLE = f"id string, document_id string, page int, method string, caption string, bbox {BBOX}, cells array<{CELL}>, num_rows int, num_columns int, source_element_id string, files map<string,string>"
 RAW_ITEM = "doc_key string, pos bigint, label string, text string, level int, traversal_level int, prov array<struct<page:int,bbox:" + BBOX + ">>"
 FINDING = "document_id string, severity string, code string, message string, element_id string, page int"
+RAW_TABLE = f"prov array<struct<page:int,bbox:{BBOX}>>, cells array<struct<start_row:int,end_row:int,start_col:int,end_col:int,text:string,column_header:boolean,row_header:boolean>>, num_rows int, num_cols int"
+RAW_PICTURE = f"page int, bbox {BBOX}, ocr_text string, content binary, width int, height int, rgb binary"
+CONVERSION = (
+    "doc_key string, source string, content_sha256 string, page_count int, status string, errors array<string>, duration_seconds double, python_version string, converter_version string, config string, "
+    f"items array<struct<label:string,text:string,level:int,traversal_level:int,prov:array<struct<page:int,bbox:{BBOX}>>>>, tables array<struct<{{tables}}>>, pictures array<struct<{{pictures}}>>, raw map<string,string>"
+)
+
+
+def _as_struct(ddl: str) -> str:
+    """Columns as the fields of a struct: the first blank of each becomes a colon."""
+    return ",".join(part.replace(" ", ":", 1) for part in ddl.split(", "))
+
+
+CONVERSION = CONVERSION.format(tables=_as_struct(RAW_TABLE), pictures=_as_struct(RAW_PICTURE))
