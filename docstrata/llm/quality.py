@@ -153,8 +153,9 @@ def layout(lines: list[str]) -> tuple[str, float, float]:
     return ("list" if entry else "junk"), period, follow
 
 
-def analyse(text: str, common: frozenset) -> dict:
-    """Statistics and class of one text that isn't blank."""
+def analyse(text: str, common: frozenset, only_class: bool = False) -> dict:
+    """Statistics and class of one text that isn't blank. only_class: nothing but the class, which leaves
+    the other lines of a text alone once its sentences make it prose."""
     lines = [s for s in LINES.split(text.lstrip("\ufeff")) if s.strip()]
     weight = [len(s.strip()) for s in lines]
     n_words = letters = common_n = ends = 0
@@ -188,6 +189,8 @@ def analyse(text: str, common: frozenset) -> dict:
         keys[i] = DIGITS.sub("0", s)
         shape[keys[i]] += 1
     total = sum(weight)
+    if only_class and sum(w for k, w in zip(kinds, weight) if k) >= PROSE_SHARE * total:
+        return {"text_class": None}
     aligned = 0
     entries: list[int] = []
     for j, i in enumerate(rest):
@@ -242,19 +245,34 @@ BLANKS = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2028\u2029\u202f\u205f\
 BLANK = {k: 0 if v == pa.int64() else None for k, v in FIELDS.items()}
 
 
+def _common(common_words: DataFrame) -> frozenset:
+    # The word lists of a few languages, fixed in size: a parameter of the operator, not data of the corpus.
+    return frozenset(r[0] for r in common_words.select(F.lower("word")).where(F.col("word").isNotNull()).distinct().collect())
+
+
+def _rows(documents: DataFrame) -> DataFrame:
+    return documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+
+
 def statistics(documents: DataFrame, common_words: DataFrame) -> DataFrame:
     """One row of SCHEMA per document."""
-    # The word lists of a few languages, fixed in size: a parameter of the operator, not data of the corpus.
-    common = frozenset(r[0] for r in common_words.select(F.lower("word")).where(F.col("word").isNotNull()).distinct().collect())
+    common = _common(common_words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = [analyse(t, common) if t is not None and t.strip(BLANKS) else BLANK for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array([r[k] for r in rows], kind) for k, kind in FIELDS.items()]], names=["doc_id", *FIELDS])
 
-    return documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, SCHEMA)
+    return _rows(documents).mapInArrow(run, SCHEMA)
 
 
 def found(documents: DataFrame, common_words: DataFrame) -> DataFrame:
     """doc_id, text_class of texts that are hardly prose."""
-    return statistics(documents, common_words).where(F.col("text_class").isNotNull()).select("doc_id", "text_class").distinct()
+    common = _common(common_words)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kinds = [analyse(t, common, True)["text_class"] if t is not None and t.strip(BLANKS) else None for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(kinds, pa.string())], names=["doc_id", "text_class"])
+
+    return _rows(documents).mapInArrow(run, "doc_id bigint, text_class string").where(F.col("text_class").isNotNull()).distinct()

@@ -65,6 +65,14 @@ def p6_pieces(spark: SparkSession, d: str) -> DataFrame:
     return pieces.pieces(table(spark, d, "canonical_elements"))
 
 
+def p6_sizes(spark: SparkSession, d: str) -> DataFrame:
+    """The characters of every item as its pieces give them without their overlaps, and whether each piece keeps its limit."""
+    made = p6_pieces(spark, d)
+    limit = F.when(F.col("item_kind") == "element", pieces.ELEMENT_LIMIT).otherwise(pieces.SECTION_LIMIT)
+    rows = made.groupBy("item_kind", "item_id").agg(F.sum(F.length("text") - F.col("overlap")).alias("size"), F.max(F.length("text") > limit).alias("over"), F.max("overlap").alias("overlap"), F.count("*").alias("n"), F.max("n_pieces").alias("m"), F.max("piece").alias("last"))
+    return rows.select("item_kind", "item_id", "size", (~F.col("over") & (F.col("overlap") <= pieces.OVERLAP) & (F.col("n") == F.col("m")) & (F.col("last") == F.col("n") - 1)).alias("sound"))
+
+
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     return tokenize.encode(table(spark, d, "documents"))
 
@@ -94,7 +102,7 @@ def p10_ratios(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("doc_id", "n_lines", "n_words", *[F.round(c, 6).alias(c) for c in ("mean_word_length", "symbol_ratio", "end_punctuation_share", "common_word_share")])
 
 
-NAMES = "p1_found p1_source_report p1_ends p2_found p2_kept p3_found p3_repaired p5_found p5_groups p5_copies p6_found p6_pieces p8_ids p9_found p9_items p10_found p10_statistics p10_ratios".split()
+NAMES = "p1_found p1_source_report p1_ends p2_found p2_kept p3_found p3_repaired p5_found p5_groups p5_copies p6_found p6_pieces p6_sizes p8_ids p9_found p9_items p10_found p10_statistics p10_ratios".split()
 
 
 def queries() -> dict[str, Query]:
@@ -172,6 +180,10 @@ def oracle_sql() -> dict[str, str]:
         "p1_ends": ENDS,
         "p9_found": f"{LEAKS} SELECT * FROM leak",
         "p9_items": f"{LEAKS} SELECT item_id, suite, coalesce(n, 0) AS n_documents FROM eval_items LEFT JOIN (SELECT item_id, count(*) AS n FROM leak GROUP BY item_id) USING (item_id)",
+        "p6_sizes": f"""WITH one AS ({ONE_ROW}),
+placed AS (SELECT *, last_value(CASE WHEN heading THEN id END IGNORE NULLS) OVER (PARTITION BY document_id ORDER BY pos, id ROWS UNBOUNDED PRECEDING) AS section_id FROM one WHERE pos IS NOT NULL)
+SELECT 'element' AS item_kind, id AS item_id, CAST(size AS BIGINT) AS size, true AS sound FROM one WHERE size > {pieces.ELEMENT_LIMIT}
+UNION ALL SELECT 'section', section_id, CAST(sum(size) + count(*) FILTER (WHERE size > 0) AS BIGINT), true FROM placed WHERE section_id IS NOT NULL GROUP BY section_id HAVING sum(size) > {pieces.SECTION_LIMIT}""",
         "p6_found": f"""WITH one AS ({ONE_ROW}),
 placed AS (SELECT *, last_value(CASE WHEN heading THEN id END IGNORE NULLS) OVER (PARTITION BY document_id ORDER BY pos, id ROWS UNBOUNDED PRECEDING) AS section_id FROM one WHERE pos IS NOT NULL)
 SELECT 'element' AS item_kind, id AS item_id FROM one WHERE size > {pieces.ELEMENT_LIMIT}

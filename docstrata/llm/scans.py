@@ -215,15 +215,17 @@ def header_key(line: str) -> str:
     return re.sub(r"\d+", "#", re.sub(r"\s+", " ", NUMBERED_END.sub("", line.strip(" \t-–—|*"))).lower()).strip()
 
 
+RUN = re.compile(r"[^\W_]+")
+SMALL = re.compile(r"[ivxlc]+|of|von|and|und|the|for|der|die|für|de|la|page")
+
+
 def titled(line: str) -> bool:
     """Every word of two letters or more begins with a capital or a digit, and there is no full stop."""
-    words = [w for w in re.findall(r"[^\W_]+", line) if len(w) > 1]
-    letters = [w for w in words if w[0].isalpha()]
-    roman = [w for w in letters if re.fullmatch(r"[ivxlc]+|of|von|and|und|the|for|der|die|für|de|la|page", w)]
-    big = [w for w in letters if w[0].isupper()]
-    if ":" in line or "•" in line:
+    if ":" in line or "•" in line or line.rstrip().endswith((".", ",", ";")):
         return False
-    return len(big) >= 2 and len(big) + len(roman) == len(letters) and not line.rstrip().endswith((".", ",", ";"))
+    words = [w for w in RUN.findall(line) if len(w) > 1 and w[0].isalpha()]
+    big = sum(w[0].isupper() for w in words)
+    return big >= 2 and all(w[0].isupper() or SMALL.fullmatch(w) for w in words)
 
 
 def furniture(lines: list[str], model: Model) -> list[bool]:
@@ -309,25 +311,34 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """text, clean, scan, head (what it is counted for) -> kind, a, b, n: partial sums. The words of texts that may be
     scanned are counted line by line, without those that a line's end cuts."""
     counts: Counter = Counter()
+    raw: Counter = Counter()  # what stands between white space; asked once whether it is a word
 
     def flush() -> pa.RecordBatch:
+        for w, n in raw.items():
+            if is_word(t := w.strip(EDGE)):
+                counts["scan", t, ""] += n
         kind, a, b = zip(*counts) if counts else ((), (), ())
-        return pa.RecordBatch.from_arrays([pa.array(kind, pa.string()), pa.array(a, pa.string()), pa.array(b, pa.string()), pa.array(counts.values(), pa.int64())], names=["kind", "a", "b", "n"])
+        batch = pa.RecordBatch.from_arrays([pa.array(kind, pa.string()), pa.array(a, pa.string()), pa.array(b, pa.string()), pa.array(counts.values(), pa.int64())], names=["kind", "a", "b", "n"])
+        counts.clear()
+        raw.clear()
+        return batch
 
     for batch in batches:
         for text, clean, scan, head in zip(*(c.to_pylist() for c in batch.columns)):
             if scan:
-                seen = [t for line in LINE.split(text) for w in line.split() if is_word(t := w.strip(EDGE)) and t[-1] not in HYPHEN]
-                counts.update(zip(repeat("scan"), seen, repeat("")))
+                for line in LINE.split(text):
+                    seen = line.split()
+                    if seen and seen[-1].rstrip(EDGE).endswith(tuple(HYPHEN)):
+                        seen.pop()
+                    raw.update(seen)
             if head:
                 counts["head", header_key(text), ""] += 1
             if clean:
                 low = TOKEN.findall(text.lower())
                 counts.update(zip(repeat("word"), low, repeat("")))
                 counts.update(zip(repeat("pair"), low, low[1:]))
-            if len(counts) > HELD:
+            if len(counts) + len(raw) > HELD:
                 yield flush()
-                counts.clear()
     yield flush()
 
 
