@@ -6,7 +6,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from docstrata.config import Thresholds
 from docstrata.functions import scalars as S
@@ -339,32 +338,40 @@ LOW = "SELECT document_id, 'error' AS severity, 'low_text' AS code, printf('Only
 ALL_FINDINGS = " UNION ALL ".join([*FINDINGS.values(), LOW])
 
 
+def _parts(text: str) -> list[str]:
+    """A list split at the commas that stand in no brackets."""
+    cuts, depth = [-1], 0
+    for i, c in enumerate(text):
+        depth += (c == "<") - (c == ">")
+        if c == "," and not depth:
+            cuts.append(i)
+    return [text[a + 1 : b].strip() for a, b in zip(cuts, [*cuts[1:], len(text)])]
+
+
 def adjacency_sql(name: str, entity: str, ddl: str) -> tuple[list[str], list[str]]:
     """Tables (one per level of the schema) and selects that together are the adjacency table of a table's latest rows."""
-    kind = T.StructType.fromDDL(ddl)
-    row = "{" + ", ".join(f"'{f}': {f}" for f in kind.names) + "}"
+    root = "struct<" + ",".join(x.replace(" ", ":", 1) for x in _parts(ddl)) + ">"
+    row = "{" + ", ".join(f"'{x.split(':')[0]}': {x.split(':')[0]}" for x in _parts(root[7:-1])) + "}"
     tables = [f"{entity}_0 AS (SELECT id AS key, id AS node, NULL::VARCHAR AS parent, NULL::INT AS ordinal, max_by({row}, coalesce(delivered_at, TIMESTAMP '1900-01-01')) AS v FROM {name} WHERE id IS NOT NULL GROUP BY id)"]
     selects: list[str] = []
 
-    def visit(level: str, what: T.DataType, label: str) -> None:
-        scalar = "NULL" if isinstance(what, (T.StructType, T.ArrayType, T.MapType)) else "epoch_us(v)" if isinstance(what, T.TimestampType) else "v"
-        sort = "array" if isinstance(what, T.ArrayType) else "object" if scalar == "NULL" else "scalar"
+    def below(query: str, what: str, label: str) -> None:
+        tables.append(f"{entity}_{len(tables)} AS ({query})")
+        visit(f"{entity}_{len(tables) - 1}", what, label)
+
+    def visit(level: str, what: str, label: str) -> None:
+        outer, _, inner = what.removesuffix(">").partition("<")
+        sort, scalar = {"struct": ("object", "NULL"), "map": ("object", "NULL"), "array": ("array", "NULL"), "timestamp": ("scalar", "epoch_us(v)")}.get(outer, ("scalar", "v"))
         selects.append(f"SELECT '{entity}' AS entity, key, node, parent, '{label}' AS label, ordinal, '{sort}' AS kind, CAST({scalar} AS VARCHAR) AS scalar FROM {level} WHERE v IS NOT NULL")
-        if isinstance(what, T.StructType):
-            for f in what.fields:
-                below = f"{entity}_{len(tables)}"
-                tables.append(f"{below} AS (SELECT key, node || '.{f.name}' AS node, node AS parent, NULL::INT AS ordinal, v.{f.name} AS v FROM {level} WHERE v IS NOT NULL)")
-                visit(below, f.dataType, f.name)
-        elif isinstance(what, T.ArrayType):
-            below = f"{entity}_{len(tables)}"
-            tables.append(f"{below} AS (SELECT key, node || '[' || (n - 1) || ']' AS node, node AS parent, CAST(n - 1 AS INT) AS ordinal, v FROM (SELECT key, node, unnest(v) AS v, generate_subscripts(v, 1) AS n FROM {level} WHERE v IS NOT NULL))")
-            visit(below, what.elementType, label)
-        elif isinstance(what, T.MapType):
-            below = f"{entity}_{len(tables)}"
-            tables.append(f"{below} AS (SELECT key, node || '{{' || e.key || '}}' AS node, node AS parent, NULL::INT AS ordinal, e.value AS v FROM (SELECT key, node, unnest(map_entries(v)) AS e FROM {level} WHERE v IS NOT NULL))")
-            visit(below, what.valueType, label)
-
-    visit(f"{entity}_0", kind, entity)
+        if outer == "struct":
+            for f, kind in (x.split(":", 1) for x in _parts(inner)):
+                below(f"SELECT key, node || '.{f}' AS node, node AS parent, NULL::INT AS ordinal, v.{f} AS v FROM {level} WHERE v IS NOT NULL", kind.strip(), f)
+        elif outer == "array":
+            below(f"SELECT key, node || '[' || (n - 1) || ']' AS node, node AS parent, CAST(n - 1 AS INT) AS ordinal, v FROM (SELECT key, node, unnest(v) AS v, generate_subscripts(v, 1) AS n FROM {level} WHERE v IS NOT NULL)", inner, label)
+        elif outer == "map":
+            below(f"SELECT key, node || '{{' || e.key || '}}' AS node, node AS parent, NULL::INT AS ordinal, e.value AS v FROM (SELECT key, node, unnest(map_entries(v)) AS e FROM {level} WHERE v IS NOT NULL)", _parts(inner)[1], label)
+
+    visit(f"{entity}_0", root, entity)
     return tables, selects
 
 
