@@ -118,14 +118,14 @@ class Plain(dict):
 class Model:
     """Counts of the corpus language and the confusion probabilities."""
 
-    def __init__(self, words, pairs, headers, costs: dict[tuple[str, str], float] | None = None, total: int = 0, longest: int = 0):
+    def __init__(self, words, pairs, headers, costs: dict[tuple[str, str], float] | None = None, total: int | None = None, longest: int | None = None):
         self.words, self.pairs, self.headers = Plain(words) if isinstance(words, dict) else words, pairs, headers
-        self.total = max(1, total or sum(words.values()))
+        self.total = max(1, sum(words.values()) if total is None else total)
         self.costs = costs or {c: log(1e-3) for c in CONFUSIONS}
         self.known: dict[str, list[tuple[str, float]]] = {}
         self.fine: set[str] = set()
         #: No true word is longer, and two confusions shorten what is seen by no more than this.
-        self.longest = (longest or max(map(len, words), default=0)) + 2 * max((len(s) - len(t) for s, t in self.costs), default=0)
+        self.longest = (max(map(len, words), default=0) if longest is None else longest) + 2 * max((len(s) - len(t) for s, t in self.costs), default=0)
 
     def plain(self, token: str) -> bool:
         """Whether a token, as it stands between white space, is read as it is in any context."""
@@ -443,7 +443,8 @@ def read_model(name: str) -> tuple[Counts, Counts, Counts]:
         m = mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ)
     at, out = 8 * len(ARRAYS), []
     for k, n in enumerate(np.frombuffer(m, np.int64, len(ARRAYS)).tolist()):
-        out.append(np.frombuffer(m, np.int64 if k % 2 else np.uint64, n, at))
+        kind = np.int64 if k % 2 else np.uint64
+        out.append(np.frombuffer(m, kind, n, at) if n else np.zeros(0, kind))
         at += 8 * n
     return Counts(*out[:2]), Counts(*out[2:4]), Counts(*out[4:])
 
