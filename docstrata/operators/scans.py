@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from docstrata.runtime import checkpoint
+
 BLOCK = 4096
 
 
@@ -18,11 +20,13 @@ def _block(order: Column) -> Column:
 
 
 def with_ordinal(df: DataFrame, keys: list[str], order: str, ties: list[str], name: str) -> DataFrame:
-    """Adds the 1-based rank of each row among the rows of equal keys, by order and ties. Positions
-    are numbers; keys ordered by a string are ranked in one window."""
+    """Adds the 1-based rank of each row among the rows of equal keys, by order and ties. Numbers are positions and
+    cut by their size; rows ordered by a string are dealt to ranges of keys and order, which split a key that holds many
+    rows, and the ranges are the blocks."""
     if dict(df.dtypes)[order] == "string":
-        return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(order, *ties)).cast("bigint"))
-    cut = df.withColumn("_b", _block(F.col(order)))
+        cut = checkpoint(df.repartitionByRange(*keys, order).withColumn("_b", F.spark_partition_id()))
+    else:
+        cut = df.withColumn("_b", _block(F.col(order)))
     inside = cut.withColumn("_n", F.row_number().over(Window.partitionBy(*keys, "_b").orderBy(order, *ties)))
     sizes = cut.groupBy(*keys, "_b").agg(F.count("*").alias("_size"))
     w = Window.partitionBy(*keys).orderBy("_b")

@@ -89,3 +89,10 @@ def test_boxes(spark):
     assert E.checked_boxes(df, "quarantine").count() == 3
     with pytest.raises(Exception, match="invalid box"):
         E.checked_boxes(df).collect()
+
+
+def test_ranks_by_a_string_over_ranges(spark):
+    """One key holds all rows: its rows are dealt to several ranges and still ranked one after the other."""
+    df = spark.range(5000).select((F.col("id") % 1).alias("k"), F.lpad(F.hash("id").cast("string"), 12, "0").alias("s"), F.lit(None).cast("int").alias("page"))
+    rows = scans.with_ordinal(df, ["k", "page"], "s", [], "n").select("s", "n").collect()
+    assert [r.n for r in sorted(rows)] == list(range(1, 5001))
