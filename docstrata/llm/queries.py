@@ -135,11 +135,11 @@ _numbered = lambda s, prefix: ", ".join(f"{s}{i}.n AS n{prefix}{k}, {s}{i}.t AS
 _joined = lambda s, side, key: " ".join(f"LEFT JOIN {side}{i} {s}{i} ON {s}{i}.key = {key}({g})" for i, g in enumerate(_GRAMS))
 #: The counts of every gram as own tables; string keys instead of hashes.
 ENDS = r"""WITH body AS (SELECT *, trim(caption, ' ' || chr(9) || chr(10) || chr(13)) AS body FROM image_assets WHERE id IS NOT NULL),
-base AS (SELECT id, document_id, regexp_replace(left(body, 4), '^([*"] ?|<p>)', '') || substring(body, 5, greatest(0, length(body) - 28)) || trim(regexp_replace(regexp_replace(regexp_replace(CASE WHEN length(body) > 4 THEN right(body, least(24, length(body) - 4)) ELSE '' END, '( ?[*]|</p>)$', ''), '([.”)])"$', '\1'), '%s', '')) AS text FROM body WHERE length(body) > 0),
+base AS (SELECT id, document_id, regexp_replace(left(body, 4), '^([*"] ?|<p>)', '') || substring(body, 5, greatest(0, length(body) - 28)) || rtrim(regexp_replace(regexp_replace(regexp_replace(CASE WHEN length(body) > 4 THEN right(body, least(24, length(body) - 4)) ELSE '' END, '( ?[*]|</p>)$', ''), '([.”)])"$', '\1'), '%s', '')) AS text FROM body WHERE length(body) > 0),
 cut AS (SELECT id, document_id, text, regexp_matches(right(text, 24), '%s') AND NOT regexp_matches(right(text, 24), '\s[\d.,]*\d\.$') AS done, regexp_extract_all(lower(regexp_replace(regexp_replace(text, '([.!?]["”’)]?)\s+([\p{Lu}“"])', '\1 ¶ \2', 'g'), '(\p{L}+-)?\d+([.,]\d*)*', '0', 'g')), '%s') AS words FROM base WHERE text <> ''),
 toks AS (SELECT *, len(words) AS n, CASE WHEN list_position(list_reverse(words), '¶') IS NULL THEN 1 ELSE len(words) + 2 - list_position(list_reverse(words), '¶') END AS s FROM cut WHERE len(words) > 0),
-spots AS (SELECT *, coalesce(words[i - 2], '') AS a, coalesce(words[i - 1], '') AS b, words[i] AS c, regexp_matches(words[i], '^\p{L}') AS word, i = n OR words[i + 1] = '¶' AS last, CASE WHEN n > s THEN words[s] || chr(1) || words[s + 1] END AS o FROM (SELECT *, unnest(range(1, n + 1)) AS i FROM (SELECT done, words, n, s FROM toks GROUP BY document_id, text, done, words, n, s))),
-fin AS (SELECT id, done, n, s, words, coalesce(words[n - 2], '') AS a, coalesce(words[n - 1], '') AS b, words[n] AS c, regexp_matches(words[n], '^\p{L}') AS word, CASE WHEN n > s THEN words[s] || chr(1) || words[s + 1] END AS o FROM toks),
+spots AS (SELECT *, coalesce(words[i - 2], '') AS a, coalesce(words[i - 1], '') AS b, words[i] AS c, regexp_matches(words[i], '^\p{L}') AS word, i = n OR words[i + 1] = '¶' AS last, CASE WHEN n > s + 1 THEN words[s] || chr(1) || words[s + 1] END AS o FROM (SELECT *, unnest(range(1, n + 1)) AS i FROM (SELECT done, words, n, s FROM toks GROUP BY document_id, text, done, words, n, s))),
+fin AS (SELECT id, done, n, s, words, coalesce(words[n - 2], '') AS a, coalesce(words[n - 1], '') AS b, words[n] AS c, regexp_matches(words[n], '^\p{L}') AS word, CASE WHEN n > s + 1 THEN words[s] || chr(1) || words[s + 1] END AS o FROM toks),
 lab AS (SELECT *, o || chr(2) AS p FROM spots WHERE NOT done AND o IS NOT NULL AND i >= s),
 op AS (SELECT words[i] || chr(1) || words[i + 1] AS key, count(*) AS n, count(*) FILTER (WHERE NOT done AND i = s) AS t FROM spots WHERE i < n AND (i = 1 OR b = '¶') GROUP BY 1),
 lt AS (SELECT o AS key, count(*) AS n, count(*) FILTER (WHERE last) AS t FROM lab GROUP BY 1)""" % (truncation.TRACE, truncation.DONE, truncation.TOKEN)

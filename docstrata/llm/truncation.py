@@ -8,8 +8,8 @@ is smoothed, not switched: a trigram backs off to its pair and its last token, e
 BACKOFF occurrences for the next longer one. A last word that may itself be cut short is asked a
 second time as "any word" after the two tokens before it; the smaller share decides.
 
-Labels end without a mark by nature. Where sentences that open with the same two tokens mostly
-do, the same trigram shares are taken among the unmarked sentences of that opening. Openings
+Labels end without a mark by nature. Where sentences that open with the same two tokens (neither being
+the last) mostly do, the same trigram shares are taken among the unmarked sentences of that opening. Openings
 decide only ties: an unmarked text with a share between SHARE and TIE is cut if sentences of its
 opening mostly end in a mark. The trace of a cut transfer (an unfinished tag, entity or escape, an
 ellipsis) is taken off first, and the trigram before it decides.
@@ -50,7 +50,7 @@ TOKEN = r"\p{L}[\p{L}\p{N}\x27’-]*|0|[^\s\p{L}\p{N}\"“’]"
 #: asked of the first and last characters only.
 TEXTS = r"""
 SELECT id, document_id, caption_source, concat(regexp_replace(left(body, 4), r'^([*"] ?|<p>)', ''), substring(body, 5, length(body) - 4 - least(24, length(body) - 4)),
-    trim(regexp_replace(regexp_replace(right(body, greatest(0, least(24, length(body) - 4))), r'( ?[*]|</p>)$|(?<=[.”)])"$', ''), r'{trace}', ''))) AS text
+    rtrim(regexp_replace(regexp_replace(right(body, greatest(0, least(24, length(body) - 4))), r'( ?[*]|</p>)$|(?<=[.”)])"$', ''), r'{trace}', ''))) AS text
 FROM (SELECT *, trim(BOTH ' 	
 ' FROM caption) AS body FROM {captions}) WHERE id IS NOT NULL AND length(body) > 0
 """
@@ -68,7 +68,7 @@ KEYS = f"""xxhash64(3, {{o}}, a, b, c), IF({WORD}, xxhash64(4, {{o}}, a, b), NUL
 PLACES = """
 SELECT *, get(words, i - 2) AS a, get(words, i - 1) AS b, words[i] AS c,
   i = n - 1 OR words[i + 1] = '¶' AS last,
-  IF(n - s > 1, xxhash64(6, words[s], words[s + 1]), NULL) AS o
+  IF(n - s > 2, xxhash64(6, words[s], words[s + 1]), NULL) AS o
 FROM (SELECT copy, done, words, n, s, {row} explode({places}) AS i FROM {tokens})
 """
 #: How often every key stands in the texts, and how often a text or a sentence with its mark ends there.
