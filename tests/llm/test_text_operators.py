@@ -79,6 +79,20 @@ def test_truncation_of_frequent_labels(spark):
     assert {r.image_id for r in truncation.found(df, residue.found(df)).collect()} == {f"cut{i}" for i in range(len(cut))}
 
 
+def test_the_trigrams_decide(spark):
+    data = f"{DATA}/sf0.01"
+    if not os.path.isdir(data):
+        pytest.skip("no test data")
+    cut = truncation.decisions(table(spark, data, "image_assets")).where("cut")
+    assert cut.where(f"end_share <= {truncation.SHARE}").count() >= 0.9 * cut.count() > 0
+
+
+def test_no_blank_is_lost_where_the_end_begins(spark):
+    texts = ["x" * 10 + " " + "word " * n + "end" for n in range(12)]
+    texts_view = truncation._sql(spark, truncation.TEXTS, captions=spark.createDataFrame([image(str(i), t) for i, t in enumerate(texts)], IMAGE), trace=truncation.TRACE)
+    assert {r.id: r.text for r in texts_view.collect()} == {str(i): t for i, t in enumerate(texts)}
+
+
 # ---- problem 2
 
 
@@ -522,6 +536,18 @@ def test_layout_of_lines_without_marks(lines, kind):
     assert quality.analyse("\n".join(lines), common)["text_class"] == kind
 
 
+def test_each_detector_of_layout_decides(monkeypatch):
+    common = frozenset("the is in and of it was not on a to".split())
+    table_text = "x,1.5,2.5\ny,25.5,3.5\nz,1.0,2.0\nwide,1,2"
+    indented = "\n".join(" " + s for s in PARTS)
+    waves = "\n".join(" ".join(POOL[(5 * k + j) % len(POOL)] for j in range(9 + k // 3)) for k in range(24))
+    for name, plain, text in (("columns_of", lambda s: ("", 0), table_text), ("periodicity", lambda x: 0.0, indented), ("autocorrelation", lambda x, lags: 0.0, waves)):
+        before = quality.analyse(text, common)["text_class"]
+        with monkeypatch.context() as m:
+            m.setattr(quality, name, plain)
+            assert quality.analyse(text, common)["text_class"] != before
+
+
 def test_statistics_rows(spark):
     df = spark.createDataFrame([(1, "The pump is in the house.", "", "", ""), (2, None, "", "", ""), (3, "", "", "", ""), (4, " \ufeff\n", "", "", ""), (4, " \ufeff\n", "", "", ""), (5, "a" * 300000, "", "", ""), (None, "x", "", "", "")], DOC)
     words = spark.createDataFrame([("en", "THE"), ("en", "is"), (None, None)], "lang string, word string")
